@@ -73,6 +73,14 @@ register(
 )(gold.master_slice)
 
 
+# ------------------------------------------------------------------ evaluation and scoring
+from strata.plans import evaluation as _ev  # noqa: E402
+from strata.plans.oracle_eval import ORACLE as _EV_SQL  # noqa: E402
+
+for _name in _EV_SQL:
+    register(_name, _EV_SQL[_name])(getattr(_ev, _name))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
