@@ -81,6 +81,14 @@ for _name in _EV_SQL:
     register(_name, _EV_SQL[_name])(getattr(_ev, _name))
 
 
+# ------------------------------------------------------------------ silver (cleaning)
+from strata.plans import silver as _si  # noqa: E402
+from strata.plans.oracle_silver import ORACLE as _SI_SQL  # noqa: E402
+
+for _name in _SI_SQL:
+    register(_name, _SI_SQL[_name])(getattr(_si, _name))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
