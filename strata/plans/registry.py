@@ -89,6 +89,14 @@ for _name in _SI_SQL:
     register(_name, _SI_SQL[_name])(getattr(_si, _name))
 
 
+# ------------------------------------------------------------------ profiling and preparation
+from strata.plans import analysis as _an  # noqa: E402
+from strata.plans.oracle_analysis import ORACLE as _AN_SQL  # noqa: E402
+
+for _name in _AN_SQL:
+    register(_name, _AN_SQL[_name])(getattr(_an, _name))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
