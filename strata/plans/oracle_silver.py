@@ -70,3 +70,21 @@ ORACLE = {
                        WHEN trim(GENDER) LIKE '%minin%' THEN 'Feminin' END AS GENDER
            FROM perimetre_raw""", ["perimetre_raw"]),
 }
+
+ORACLE_LAKE = {
+    "scan_parquet": "SELECT * FROM orders",
+    "scan_multi": "SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier",
+    "scan_tolerant": "SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier",
+    "write_overwrite": ORACLE["clean_full"],
+    "register_table": ORACLE["clean_full"],
+    "gate_rows": " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", COUNT(*) AS n_rows,
+               CAST(SUM(CASE WHEN {" OR ".join(k + " IS NULL" for k in keys)} THEN 1 ELSE 0 END) AS BIGINT) AS null_keys,
+               COUNT(*) - CAST(SUM(CASE WHEN {" OR ".join(k + " IS NULL" for k in keys)} THEN 1 ELSE 0 END) AS BIGINT)
+                 - COUNT(DISTINCT ({", ".join(keys)})) AS duplicate_keys,
+               COUNT(*) >= 1 AND SUM(CASE WHEN {" OR ".join(k + " IS NULL" for k in keys)} THEN 1 ELSE 0 END) = 0
+                 AND COUNT(*) - COUNT(DISTINCT ({", ".join(keys)})) = 0 AS passed
+            FROM {t}"""
+        for t, keys in {"customer": ["c_custkey"], "orders": ["o_orderkey"],
+                        "lineitem": ["l_orderkey", "l_linenumber"], "part": ["p_partkey"]}.items()),
+}

@@ -97,6 +97,20 @@ for _name in _AN_SQL:
     register(_name, _AN_SQL[_name])(getattr(_an, _name))
 
 
+# ------------------------------------------------------------------ lake: scans, sinks, catalogue, gates
+from strata.plans import lake as _lk  # noqa: E402
+from strata.plans.oracle import over_master as _over_master  # noqa: E402
+from strata.plans.oracle_eval import ORACLE as _EV  # noqa: E402
+from strata.plans.oracle_silver import ORACLE_LAKE as _LK_SQL  # noqa: E402
+
+for _name in _LK_SQL:
+    register(_name, _LK_SQL[_name])(getattr(_lk, _name))
+register("write_master", _over_master("SELECT * FROM master"))(_lk.write_master)
+register("score_sink", _EV["score_table"])(_lk.score_sink)
+register("preprocessed_sink", _AN_SQL["encode_features"])(_lk.preprocessed_sink)
+register("list_tables")(_lk.list_tables)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
