@@ -111,6 +111,13 @@ register("preprocessed_sink", _AN_SQL["encode_features"])(_lk.preprocessed_sink)
 register("list_tables")(_lk.list_tables)
 
 
+# ------------------------------------------------------------------ streaming ingestion
+from strata.plans import ingest as _in  # noqa: E402
+
+for _name, _fn in _in.QUERIES.items():
+    register(_name, _in.ORACLE[_name])(_fn)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
