@@ -209,11 +209,11 @@ def confusion_at(scored: DataFrame, thresholds: Sequence[float], y="y_true", p="
 
 
 def model_metrics(scored: DataFrame, threshold: float, model: str = "", k: float = LIFT_K,
-                  y="y_true", p="y_proba") -> DataFrame:
+                  y="y_true", p="y_proba", key="key") -> DataFrame:
     """One evaluation row: lift/capture at k, AP, AUC, threshold, F1, precision, recall."""
     kk = int(round(k * 100))
     cm = confusion_at(scored, [threshold], y, p)
-    lk = lift_at_k(scored, k, y=y, p=p)
+    lk = lift_at_k(scored, k, key=key, y=y, p=p)
     parts = [
         lk.select(F.lit(f"lift_{kk}pct").alias("metric"), F.col("lift").alias("value")),
         lk.select(F.lit(f"capture_{kk}pct").alias("metric"), F.col("capture").alias("value")),

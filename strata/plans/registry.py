@@ -118,6 +118,13 @@ for _name, _fn in _in.QUERIES.items():
     register(_name, _in.ORACLE[_name])(_fn)
 
 
+# ------------------------------------------------------------------ models (Spark ML; rows-only checks)
+from strata.plans import modeling as _md  # noqa: E402
+
+for _name, _fn in _md.QUERIES.items():
+    register(_name)(_fn)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
