@@ -85,7 +85,9 @@ def model_benchmark(spark, sf_dir):
 
 
 def ensemble_weights(spark, sf_dir) -> dict[str, float]:
-    f1 = {r["model"]: r["f1"] for r in model_metrics(spark, sf_dir).select("model", "f1").collect()}
+    """Weights proportional to each model's test F1 at the threshold chosen on the other half."""
+    thr, test = halves(spark, sf_dir)
+    f1 = {m: ev.confusion_at(test, [optimal_threshold(thr, p)], p=p).first()["f1"] for m, p in MODELS.items()}
     total = 0.0
     for m in MODELS:
         total += f1[m]
