@@ -90,3 +90,8 @@ def undersample(spark, sf_dir):
 
 def class_weight(spark, sf_dir):
     return prep.class_weight(label_any(spark, sf_dir), "label_any")
+
+
+def approx_percentile_profile(spark, sf_dir):
+    """The notebook's own method: percentile_approx (bounded-memory sketch), all columns in one pass."""
+    return profile.approx_percentile_profile(gold.master_table(spark, sf_dir), OUTLIER_COLS)

@@ -144,3 +144,14 @@ def score_table(spark, sf_dir):
         value_decile(F.col("score_ensemble"), edges).alias("score_decile"),
         (F.col("score_ensemble") >= F.lit(t)).cast("int").alias("prediction"),
     ).orderBy(F.col("score_ensemble").desc(), F.col("key").asc())
+
+
+def lift_tables(spark, sf_dir):
+    """Lift tables of every model in one frame (union by name), labelled by model."""
+    s = scored(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [ev.lift_table(s, p=p, model=m) for m, p in MODELS.items()])
+
+
+def centile_tables(spark, sf_dir):
+    s = scored(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [ev.centile_analysis(s, p=p, model=m) for m, p in MODELS.items()])

@@ -197,3 +197,17 @@ QUERIES = {
     "score_base": score_base,
     "run_log": run_log,
 }
+
+
+def top_features(spark, sf_dir):
+    """The 20 most important features (a top-k report)."""
+    return feature_importance(spark, sf_dir).limit(20)
+
+
+def downcast_features(spark, sf_dir):
+    """Model features as 32-bit floats (key and label kept)."""
+    d, feats = _parts(spark, sf_dir)
+    return d.select(KEY, Y, *(F.col(c).cast("float").alias(c) for c in feats))
+
+
+QUERIES.update({"top_features": top_features, "downcast_features": downcast_features})

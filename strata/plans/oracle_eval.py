@@ -67,6 +67,35 @@ SELECT i AS n_top, ROUND(i / n * 100, 6) AS pct_population, ROUND(captured / p *
        ROUND(CASE WHEN i / n * 100 > 0 THEN (captured / p * 100) / (i / n * 100) ELSE 1.0 END, 6) AS lift
 FROM cap"""
 
+def _lift_table_sql(p: str, model: str, tag: str) -> str:
+    return f"""{ranked_cte("scored", p, "rk_" + tag)},
+d_{tag} AS (SELECT *, CAST(CASE WHEN total_rows <= 1 THEN 1
+                          ELSE greatest(1, ceil(10 * pos / (total_rows - 1))) END AS INTEGER) AS gain_decile FROM rk_{tag}),
+t_{tag} AS (SELECT gain_decile, COUNT(*) AS n, CAST(SUM(y_true) AS BIGINT) AS n_pos, AVG({p}) AS avg_score,
+             ANY_VALUE(total_pos) AS p, ANY_VALUE(total_rows) AS nn FROM d_{tag} GROUP BY gain_decile),
+lt_{tag} AS (SELECT gain_decile, n, n_pos, ROUND(avg_score, 6) AS avg_score, ROUND(n_pos / n, 4) AS pos_rate,
+       ROUND(ROUND(n_pos / n, 4) / (p / nn), 4) AS lift,
+       ROUND(SUM(n_pos) OVER (ORDER BY gain_decile ROWS UNBOUNDED PRECEDING) / p * 100, 2) AS cum_cap_pct,
+       '{model}' AS model FROM t_{tag})"""
+
+
+def _centiles_sql(p: str, model: str, tag: str) -> str:
+    return f"""{ranked_cte("scored", p, "ck_" + tag)},
+ca_{tag} AS (SELECT c.centile, CAST(floor(ANY_VALUE(r.total_rows) * c.centile / 100) AS BIGINT) AS nt,
+               CAST(SUM(CASE WHEN r.pos < floor(r.total_rows * c.centile / 100) THEN r.y_true ELSE 0 END) AS BIGINT) AS tp,
+               ANY_VALUE(r.total_pos) AS p, ANY_VALUE(r.total_rows) AS n
+        FROM ck_{tag} r, (SELECT unnest([1, 2, 5, 10, 20, 30, 40, 50]) AS centile) c GROUP BY c.centile),
+ct_{tag} AS (SELECT '{model}' AS model, centile, nt AS n, tp AS n_pos, ROUND(tp / p * 100, 2) AS capture_pct,
+       ROUND(CASE WHEN nt > 0 THEN tp / nt ELSE 0.0 END, 4) AS precision,
+       ROUND(CASE WHEN p / n > 0 AND nt > 0 THEN (tp / nt) / (p / n) ELSE 0.0 END, 4) AS lift FROM ca_{tag})"""
+
+
+_EV_MODELS = {"model_a": "y_proba", "model_b": "y_proba_b", "model_c": "y_proba_c"}
+LIFT_TABLES = (f"WITH {SCORED}, " + ",\n".join(_lift_table_sql(p, m, m) for m, p in _EV_MODELS.items())
+               + "\n" + " UNION ALL ".join(f"SELECT * FROM lt_{m}" for m in _EV_MODELS))
+CENTILE_TABLES = (f"WITH {SCORED}, " + ",\n".join(_centiles_sql(p, m, m) for m, p in _EV_MODELS.items())
+                  + "\n" + " UNION ALL ".join(f"SELECT * FROM ct_{m}" for m in _EV_MODELS))
+
 PR_AUC = f"""WITH {SCORED}, {curve_cte("scored")}
 SELECT ROUND(SUM(pos_s * (cum_pos / cum_n)) / SUM(pos_s), 6) AS pr_auc FROM curve_c"""
 
@@ -196,4 +225,6 @@ ORACLE = {
     "score_deciles": SCORE_DECILES,
     "score_predict": SCORE_PREDICT,
     "score_table": SCORE_TABLE,
+    "lift_tables": LIFT_TABLES,
+    "centile_tables": CENTILE_TABLES,
 }
