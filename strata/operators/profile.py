@@ -120,13 +120,31 @@ def corr_with_label(df: DataFrame, columns: Sequence[str], label: str, digits: i
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
-    """Upper triangle of the correlation matrix, long form ``(feature_a, feature_b, correlation)``,
-    all pairs in one aggregate (k*(k-1)/2 accumulators, one pass)."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*(safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{i}")
-                    for i, (a, b) in enumerate(pairs)))
-    rows = [(F.lit(a), F.lit(b), F.round(F.col(f"_c{i}"), digits)) for i, (a, b) in enumerate(pairs)]
-    return _stack(wide, rows, ["feature_a", "feature_b", "correlation"])
+    """Upper triangle of the correlation matrix, long form ``(feature_a, feature_b, correlation)``.
+
+    Two passes, numerically stable: the column means (one row, bounded by the column count) are
+    taken first, then one aggregate of centred cross products sum((a-ma)(b-mb)) and centred squares;
+    corr = Sab / sqrt(Saa * Sbb), null when either column is constant. k + k(k-1)/2 plain sums keep
+    the aggregate small, unlike k(k-1)/2 separate correlation accumulators.
+    """
+    cols = list(columns)
+    x = {c: F.col(c).cast("double") for c in cols}
+    # rows where every column is present, as pairwise deletion would differ per pair
+    complete = df.select(*(x[c].alias(c) for c in cols)).dropna()
+    means = complete.agg(*(F.avg(c).alias(c) for c in cols)).first()
+    cen = {c: F.col(c) - F.lit(means[c] if means[c] is not None else 0.0) for c in cols}
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    sums = complete.agg(
+        *(F.sum(cen[c] * cen[c]).alias(f"_s{i}") for i, c in enumerate(cols)),
+        *(F.sum(cen[a] * cen[b]).alias(f"_x{j}") for j, (a, b) in enumerate(pairs)),
+    )
+    idx = {c: i for i, c in enumerate(cols)}
+    rows = []
+    for j, (a, b) in enumerate(pairs):
+        saa, sbb = F.col(f"_s{idx[a]}"), F.col(f"_s{idx[b]}")
+        corr = F.when((saa > 0) & (sbb > 0), F.col(f"_x{j}") / F.sqrt(saa * sbb))
+        rows.append((F.lit(a), F.lit(b), F.round(corr, digits)))
+    return _stack(sums, rows, ["feature_a", "feature_b", "correlation"])
 
 
 def age_by_label(df: DataFrame, label: Column) -> DataFrame:
