@@ -215,5 +215,12 @@ def base_customers(perimetre: DataFrame, as_of: dt.date | Column | None = None)
     return perimetre.select(*BASE_COLUMNS).withColumn("age", age).drop("DATE_OF_BIRTH")
 
 
+def latest_value(df: DataFrame, key: str, value: str, order: str, out: str) -> DataFrame:
+    """Value of the latest row per key (ties on ``order`` resolved by the larger value), in one
+    aggregate: ``max_by(value, struct(order, value))``. Partial aggregation keeps a hot key cheap;
+    no window over a whole key, no self-join."""
+    return df.groupBy(key).agg(F.max_by(value, F.struct(order, value)).alias(out))
+
+
 def feature_group(name: str, df: DataFrame, as_of: dt.date | Column | None = None) -> DataFrame:
     return GROUPS[name].build(df, as_of)

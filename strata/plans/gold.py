@@ -42,6 +42,10 @@ def master_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def last_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.latest_value(fx.soldes(spark, sf_dir), "RADICAL", "SOLDEVERIF", "DATE_CHARG", "last_balance")
+
+
 def derived_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = master_table(spark, sf_dir)
     return m.select("RADICAL", "savings_ratio", "digital_score", "spending_diversity", "product_breadth",

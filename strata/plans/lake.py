@@ -136,6 +136,25 @@ def preprocessed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def detect_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables landed in the two layouts (flat directory; ``data/`` sub-directory next to a
+    ``metadata/`` directory); each is found, its layout detected and its data files scanned."""
+    root = scratch_path(spark, "bronze")
+    spark.read.parquet(table_path(sf_dir, "orders")).write.parquet(f"{root}/accounts")
+    spark.read.parquet(table_path(sf_dir, "customer")).write.parquet(f"{root}/parties/data")
+    spark.createDataFrame([("snapshot-1",)], "v string").write.text(f"{root}/parties/metadata")
+    tables = scan.list_tables(spark, root).select("table", "layout").collect()  # one row per table
+    frames = []
+    for t in tables:
+        loc = scan.detect_layout(spark, f"{root}/{t['table']}")
+        frames.append(scan.scan_parquet(spark, loc).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(t["table"]).alias("table"), F.lit(t["layout"]).alias("layout"), "n_rows"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 # ------------------------------------------------------------------ end-to-end: Bronze -> Silver -> Gold
 def _entity_spec(name: str) -> CleanSpec:
     from strata.plans import fixtures as fx  # noqa: F401  (entity names)

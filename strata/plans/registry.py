@@ -115,6 +115,13 @@ from strata.plans.oracle_eval import SCORED as _SCORED, _lift_table_sql  # noqa:
 register("report_csv", f"WITH {_SCORED}, {_lift_table_sql('y_proba', 'model_a', 'a')} SELECT * FROM lt_a")(
     _lk.report_csv)
 register("approx_percentile_profile")(_an.approx_percentile_profile)
+register("detect_layout", """SELECT 'accounts' AS "table", 'flat' AS layout, COUNT(*) AS n_rows FROM orders
+    UNION ALL SELECT 'parties' AS "table", 'data_subdir' AS layout, COUNT(*) AS n_rows FROM customer""")(
+    _lk.detect_layout)
+register("last_balance", o.with_ctes("""SELECT RADICAL, SOLDEVERIF AS last_balance FROM (
+    SELECT RADICAL, SOLDEVERIF, ROW_NUMBER() OVER (PARTITION BY RADICAL
+        ORDER BY DATE_CHARG DESC NULLS LAST, SOLDEVERIF DESC NULLS LAST) AS rn FROM soldes) WHERE rn = 1""",
+    ["soldes"]))(gold.last_balance)
 
 
 # ------------------------------------------------------------------ streaming ingestion
