@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,18 +137,37 @@ def preprocessed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def register_bronze(spark: SparkSession, base: str, database: str = "bronze") -> DataFrame:
+    """Catalogue every table directory under ``base``: detect its layout, take the schema from the
+    Parquet footers, (re)create the external table. One status row per table
+    (``registered`` / ``skipped`` when no data file / ``error``); one table's failure does not stop
+    the others."""
+    catalog.create_database(spark, database)
+    rows = []
+    for t in scan.list_tables(spark, base).select("table", "layout", "location").collect():  # one row per table
+        if t["layout"] == "file":
+            continue
+        loc = scan.detect_layout(spark, f"{base.rstrip('/')}/{t['table']}")
+        try:
+            schema = scan.scan_parquet(spark, loc).schema
+            catalog.register_table(spark, database, t["table"], loc, schema)
+            rows.append((t["table"], t["layout"], loc, "registered"))
+        except Exception as e:  # noqa: BLE001 - recorded per table
+            rows.append((t["table"], t["layout"], loc, "error: " + str(e)[:200]))
+    return spark.createDataFrame(rows, "table string, layout string, location string, status string")
+
+
 def detect_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables landed in the two layouts (flat directory; ``data/`` sub-directory next to a
-    ``metadata/`` directory); each is found, its layout detected and its data files scanned."""
+    ``metadata/`` directory); both are catalogued and read back through the catalogue."""
     root = scratch_path(spark, "bronze")
     spark.read.parquet(table_path(sf_dir, "orders")).write.parquet(f"{root}/accounts")
     spark.read.parquet(table_path(sf_dir, "customer")).write.parquet(f"{root}/parties/data")
     spark.createDataFrame([("snapshot-1",)], "v string").write.text(f"{root}/parties/metadata")
-    tables = scan.list_tables(spark, root).select("table", "layout").collect()  # one row per table
+    status = register_bronze(spark, root, "bronze")
     frames = []
-    for t in tables:
-        loc = scan.detect_layout(spark, f"{root}/{t['table']}")
-        frames.append(scan.scan_parquet(spark, loc).agg(F.count(F.lit(1)).alias("n_rows")).select(
+    for t in status.filter(F.col("status") == "registered").collect():
+        frames.append(catalog.table(spark, "bronze", t["table"]).agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(t["table"]).alias("table"), F.lit(t["layout"]).alias("layout"), "n_rows"))
     out = frames[0]
     for f in frames[1:]:
@@ -194,10 +214,18 @@ def lakehouse_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     if failed:
         raise RuntimeError(f"silver tables failed: {[(r.table, r.error) for r in failed]}")
     silver_tables = {n: spark.read.parquet(paths.table("silver", n)).drop("_silver_ts") for n in specs}
+    # layer gates: every Silver table has rows and no null key; the base is unique per key
+    # before the left joins (a duplicate would silently multiply master rows)
+    checks = [gates.gate_stats(df, n, ["RADICAL"], gates.Gate(max_duplicate_keys=2**62))
+              for n, df in silver_tables.items() if n != "perimetre"]
+    checks.append(gates.gate_stats(silver_tables["perimetre"], "perimetre", ["RADICAL"], gates.Gate()))
+    gates.check(reduce(DataFrame.unionByName, checks))
     master = build_master(silver_tables, fx.AS_OF)
     gold_path = paths.table("gold", "master_table")
     sinks.write_overwrite(master, gold_path)
-    return spark.read.parquet(gold_path)
+    gold = spark.read.parquet(gold_path)
+    gates.check(gates.gate_stats(gold, "master_table", ["RADICAL"], gates.Gate()))
+    return gold
 
 
 def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
