@@ -122,29 +122,30 @@ def corr_with_label(df: DataFrame, columns: Sequence[str], label: str, digits: i
 def corr_pairs(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
     """Upper triangle of the correlation matrix, long form ``(feature_a, feature_b, correlation)``.
 
-    Two passes, numerically stable: the column means (one row, bounded by the column count) are
-    taken first, then one aggregate of centred cross products sum((a-ma)(b-mb)) and centred squares;
-    corr = Sab / sqrt(Saa * Sbb), null when either column is constant. k + k(k-1)/2 plain sums keep
-    the aggregate small, unlike k(k-1)/2 separate correlation accumulators.
+    Two passes, numerically stable: the column means (one row, bounded by the column count), then
+    one Gramian pass (Spark ML ``Correlation``: a tree aggregate of k x k outer products) over the
+    mean-centred rows. The k x k result is bounded by the number of columns, never by the rows.
+    A constant column gives null. Rows with a null in any column are left out.
     """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
     cols = list(columns)
-    x = {c: F.col(c).cast("double") for c in cols}
-    # rows where every column is present, as pairwise deletion would differ per pair
-    complete = df.select(*(x[c].alias(c) for c in cols)).dropna()
+    spark = df.sparkSession
+    complete = df.select(*(F.col(c).cast("double").alias(c) for c in cols)).dropna()
     means = complete.agg(*(F.avg(c).alias(c) for c in cols)).first()
-    cen = {c: F.col(c) - F.lit(means[c] if means[c] is not None else 0.0) for c in cols}
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    sums = complete.agg(
-        *(F.sum(cen[c] * cen[c]).alias(f"_s{i}") for i, c in enumerate(cols)),
-        *(F.sum(cen[a] * cen[b]).alias(f"_x{j}") for j, (a, b) in enumerate(pairs)),
-    )
-    idx = {c: i for i, c in enumerate(cols)}
+    if means is None or means[cols[0]] is None:
+        return spark.createDataFrame([], "feature_a string, feature_b string, correlation double")
+    centred = complete.select(*((F.col(c) - F.lit(means[c])).alias(c) for c in cols))
+    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(centred).select("_v")
+    matrix = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
     rows = []
-    for j, (a, b) in enumerate(pairs):
-        saa, sbb = F.col(f"_s{idx[a]}"), F.col(f"_s{idx[b]}")
-        corr = F.when((saa > 0) & (sbb > 0), F.col(f"_x{j}") / F.sqrt(saa * sbb))
-        rows.append((F.lit(a), F.lit(b), F.round(corr, digits)))
-    return _stack(sums, rows, ["feature_a", "feature_b", "correlation"])
+    for i, a in enumerate(cols):
+        for j in range(i + 1, len(cols)):
+            v = float(matrix[i, j])
+            rows.append((a, cols[j], None if v != v else v))
+    out = spark.createDataFrame(rows, "feature_a string, feature_b string, correlation double")
+    return out.withColumn("correlation", F.round("correlation", digits))
 
 
 def age_by_label(df: DataFrame, label: Column) -> DataFrame:

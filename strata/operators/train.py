@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -99,11 +99,13 @@ def grouped_average_precision(df: DataFrame, group: str, y: str, p: str) -> Data
 
 
 def _permuted(df: DataFrame, features: Sequence[str], key: str, seed: int, buckets: int) -> DataFrame:
-    """Long frame: for each feature f, every row with f replaced by another row's value.
+    """Long frame ``(other columns, _feature, features)``: for each feature f, every row with f
+    replaced by another row's value, as a model-ready vector.
 
-    Rows are hashed into buckets; inside a bucket each feature's values are rotated by one
-    position along a pseudo-random order (a random cyclic permutation). Buckets come from a
-    hash of a unique key, so none is larger than about n / buckets.
+    Rows are hashed into buckets; inside a bucket each feature's values are rotated by one position
+    along its own pseudo-random order (a random cyclic permutation). Buckets come from a hash of a
+    unique key, so none is larger than about n / buckets. Expressions grow with k, not k^2: the
+    variants are made by ``transform`` over one array of values.
     """
     bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
     d = df.withColumn("_b", bucket)
@@ -112,14 +114,20 @@ def _permuted(df: DataFrame, features: Sequence[str], key: str, seed: int, bucke
         order = F.xxhash64(F.col(key), F.lit(seed * 1000 + i))
         w = Window.partitionBy("_b").orderBy(order, F.col(key))
         wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        perm[f"_p{i}"] = F.coalesce(F.lead(F.col(f)).over(w), F.first(F.col(f)).over(wall))
+        perm[f"_p{i}"] = F.coalesce(F.lead(F.col(f)).over(w), F.first(F.col(f)).over(wall)).cast("double")
     d = d.withColumns(perm)
-    variants = F.array(*(
-        F.struct(F.lit(f).alias("_feature"),
-                 *(F.col(f"_p{j}" if j == i else g).alias(g) for j, g in enumerate(features)))
-        for i, f in enumerate(features)))
     others = [c for c in df.columns if c not in set(features)]
-    return d.select(*others, F.explode(variants).alias("_v")).select(*others, "_v.*")
+    names = F.array(*(F.lit(f) for f in features))
+    d = d.select(
+        *others,
+        F.array(*(F.col(f).cast("double") for f in features)).alias("_vals"),
+        F.array(*(F.col(f"_p{i}") for i in range(len(features)))).alias("_perm"),
+        F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("_i"),
+    )
+    swapped = F.transform("_vals", lambda x, j: F.when(j == F.col("_i"), F.element_at("_perm", F.col("_i") + 1))
+                          .otherwise(x))
+    return d.select(*others, F.element_at(names, F.col("_i") + 1).alias("_feature"),
+                    array_to_vector(swapped).alias(FEATURES))
 
 
 def permutation_importance(model, df: DataFrame, features: Sequence[str], key: str, y: str,
@@ -132,7 +140,7 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], key: s
     runs = []
     for r in range(repeats):
         long = _permuted(df.select(key, y, *features), features, key, seed + r, buckets)
-        scored = score(model, long, features, keep=["_feature", y])
+        scored = model.transform(long).select("_feature", y, vector_to_array("probability")[1].alias("y_proba"))
         runs.append(grouped_average_precision(scored, "_feature", y, "y_proba").withColumn("_rep", F.lit(r)))
     allr = reduce(DataFrame.unionByName, runs).withColumn("drop", F.lit(base) - F.col("ap"))
     return allr.groupBy(F.col("_feature").alias("feature")).agg(

@@ -21,7 +21,11 @@ def test_grouped_average_precision_matches_per_group(spark):
 def test_permuted_keeps_each_feature_multiset(spark):
     df = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 3).cast("int").alias("y"),
                                  (F.col("id") * 2.0).alias("a"), (F.col("id") % 11 * 1.0).alias("b"))
-    long = train._permuted(df, ["a", "b"], "k", seed=3, buckets=4).toPandas()
+    from pyspark.ml.functions import vector_to_array
+
+    long = train._permuted(df, ["a", "b"], "k", seed=3, buckets=4)
+    v = vector_to_array("features")
+    long = long.select("k", "_feature", v[0].alias("a"), v[1].alias("b")).toPandas()
     base = df.toPandas()
     for f, other in (("a", "b"), ("b", "a")):
         part = long[long["_feature"] == f].sort_values("k")
