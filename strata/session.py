@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
+def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "strata",
+                  driver_memory: str | None = None) -> SparkSession:
     """A local session for tests and the bench. On a cluster the caller owns the session."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -20,7 +21,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", driver_memory or os.environ.get("STRATA_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
