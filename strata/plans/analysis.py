@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import prep, profile
 from strata.plans import gold
+from strata.session import cut_lineage
 
 # The notebook's report column lists.
 OUTLIER_COLS = ["avg_balance", "max_balance", "total_flux_cred", "total_gab_amount", "total_tpe_amount",
@@ -19,6 +20,12 @@ SAMPLE_ROWS = 500
 UNDERSAMPLE_TARGETS = {0: 500}
 
 
+def materialized_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master table as the notebooks read it: computed once, written (reliable checkpoint),
+    then read by operators that pass over it more than once (index fit + transform, caps)."""
+    return cut_lineage(gold.master_table(spark, sf_dir))
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = gold.master_table(spark, sf_dir)
     return m.withColumn("label_any", profile.label_any(m))
@@ -45,7 +52,7 @@ def p99_caps(spark, sf_dir):
 
 
 def cap_outliers(spark, sf_dir):
-    m = gold.master_table(spark, sf_dir)
+    m = materialized_master(spark, sf_dir)
     capped = prep.cap_outliers(m, prep.cap_values(m))
     return capped.select("RADICAL", "NOMBRE_ENFANT", *(F.round(c, 6).alias(c) for c in prep.CAP_COLS))
 
@@ -55,7 +62,8 @@ def corr_label(spark, sf_dir):
 
 
 def corr_matrix(spark, sf_dir):
-    return profile.corr_pairs(gold.master_table(spark, sf_dir), CORR_COLS)
+    # two passes (means, then the Gramian): read the materialised master
+    return profile.corr_pairs(materialized_master(spark, sf_dir), CORR_COLS)
 
 
 def age_by_label(spark, sf_dir):
@@ -64,12 +72,12 @@ def age_by_label(spark, sf_dir):
 
 
 def string_index(spark, sf_dir):
-    enc = prep.string_index(gold.master_table(spark, sf_dir))
+    enc = prep.string_index(materialized_master(spark, sf_dir))
     return enc.select("RADICAL", *(f"{c}_idx" for c in prep.CAT_COLS))
 
 
 def encode_features(spark, sf_dir):
-    return prep.encode_features(gold.master_table(spark, sf_dir))
+    return prep.encode_features(materialized_master(spark, sf_dir))
 
 
 def stratified_split(spark, sf_dir):
