@@ -134,3 +134,35 @@ def test_centiles_and_sweep(spark, scored):
         assert r["tp"] == int((pred & (pdf["y_true"] == 1)).sum())
         assert r["tn"] == int((~pred & (pdf["y_true"] == 0)).sum())
     assert list(sw["is_optimal_f1"]) == [False, True]
+
+
+def test_hot_score_is_split_across_partitions(spark):
+    """A score shared by a third of the rows must not land in one task."""
+    from strata.operators.rank import ordered_partitions
+
+    n = 30000
+    df = spark.range(n).select(F.col("id").alias("key"),
+                               F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.rand(3)).alias("score"))
+    parts = ordered_partitions(df, [F.col("score").desc(), F.col("key").asc()], partitions=6)
+    sizes = [r["count"] for r in parts.groupBy("_part").count().collect()]
+    assert sum(sizes) == n and len(sizes) == 6
+    assert max(sizes) <= 2 * n / 6, sizes
+    hot = parts.filter(F.col("score") == 0.5).select("_part").distinct().count()
+    assert hot >= 2  # the hot value spans several range partitions
+
+
+def test_dedup_and_features_with_hot_key(spark):
+    """Results stay whole and exact when one key holds a third of the rows."""
+    from strata.operators.clean import dedup
+    from strata.operators.features import latest_value
+
+    n = 9000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                               (F.col("id") % 97).alias("d"), F.col("id").cast("double").alias("v"))
+    out = dedup(df, ["k"])
+    assert out.count() == df.select("k").distinct().count()
+    hot = out.filter(F.col("k") == 0).first()
+    assert (hot.d, hot.v) == (0, 0.0)  # smallest remaining row of the hot key
+    last = latest_value(df, "k", "v", "d", "last").filter(F.col("k") == 0).first()["last"]
+    exp = df.filter(F.col("k") == 0).orderBy(F.col("d").desc(), F.col("v").desc()).first()["v"]
+    assert last == exp
