@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,12 +28,12 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder used to cut lineage.
+    """The shared folder for intermediate tables and lineage cuts.
 
-    Taken from the session (``spark.checkpoint.dir`` / ``SparkContext``). Only a
-    local master may fall back to a private temporary folder; a cluster without
-    a configured shared folder is an error, since executor-local paths would not
-    survive the loss of an executor.
+    Taken from the session: the context's checkpoint folder, else
+    ``spark.checkpoint.dir``, else a folder under ``spark.sql.warehouse.dir`` (the
+    file system that holds the tables). Never a machine-local temporary folder:
+    what one executor writes, the others and the driver must be able to read.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,9 +41,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared (HDFS/S3) folder")
-        conf = tempfile.mkdtemp(prefix="strata-ckpt-")
+        conf = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_strata_scratch"
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
@@ -55,6 +52,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/strata-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: the plan is cut, columns
+    can still be pruned and filters pushed, and a lost executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (eager) into the shared folder; survives executor loss."""
     checkpoint_dir(df.sparkSession)
