@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import binary_ids, common, line_dedup, packing, simhash
+from strata.llm import binary_ids, common, line_dedup, packing, quality, simhash, warc
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,6 +24,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
 
 
+def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    out = quality.judged(docs)
+    return out.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
 def op6_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
     return binary_ids.read_ids(binary_ids.write_ids(docs, tokenizer_path("word_bpe_49k.json")))
@@ -34,7 +40,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_line_dedup, op6_packed_ids, op7_simhash)}
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.read_archives(warc.archive(common.read_table(spark, sf_dir, "pages")))
+    page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).cast("long")
+    return read.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.when(F.col("refers_to").isNotNull(), page("refers_to")).alias("refers_to"))
+
+
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_line_dedup, op4_host_rules, op6_packed_ids, op7_simhash,
+                                   op8_warc)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": r"""
@@ -51,4 +65,47 @@ judged AS (SELECT keyed.*, held.keeper IS NOT NULL AND held.keeper <> doc_id AS
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op4_host_rules": r"""
+WITH words AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1),
+         lambda x: w[x] || ' ' || w[x + 1] || ' ' || w[x + 2])) AS g
+  FROM words WHERE len(w) >= 3),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) >= 2),
+covered AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM repeated, (VALUES (0), (1), (2)) v(o) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM words),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM words LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
+per AS (SELECT source, count(*)::DOUBLE AS docs, count(*) FILTER (base_failed)::DOUBLE AS failures FROM judged GROUP BY source),
+total AS (SELECT sum(docs) AS n, sum(failures) AS k, count(*) AS hosts, sum(docs * docs) AS n2,
+                 sum(failures * failures / docs) AS k2 FROM per),
+moments AS (SELECT k / n AS m, (k2 - n * (k / n) * (k / n) - (hosts - 1) * (k / n) * (1 - k / n)) / nullif(n - n2 / n, 0) AS v
+            FROM total),
+prior AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1e6) ELSE 1e6 END AS strength FROM moments),
+rates AS (SELECT source, (failures + m * strength) / (docs + strength) AS rate FROM per, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rate <= 0.5 AS kept
+FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source""",
+    "op8_warc": r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS hex FROM p),
+bits AS (
+  SELECT page_id, payload_bytes, hex, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS last,
+         list_transform(range(0, 8), lambda c: ('0x' || substr(hex, 5 * c + 1, 5))::INTEGER) AS quints
+  FROM (SELECT * FROM d) s)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(quints, lambda q:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (q >> 15) % 32 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (q >> 10) % 32 + 1, 1)
+         || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (q >> 5) % 32 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', q % 32 + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM bits""",
 }
