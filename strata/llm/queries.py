@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import binary_ids, common, line_dedup, packing, quality, simhash, warc
+from strata.llm import binary_ids, common, decontaminate, line_dedup, packing, quality, simhash, warc
 
 
 def tokenizer_path(name: str) -> str:
@@ -47,8 +47,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.when(F.col("refers_to").isNotNull(), page("refers_to")).alias("refers_to"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.contamination(docs, common.read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_line_dedup, op4_host_rules, op6_packed_ids, op7_simhash,
-                                   op8_warc)}
+                                   op8_warc, op9_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": r"""
@@ -94,6 +102,27 @@ rates AS (SELECT source, (failures + m * strength) / (docs + strength) AS rate F
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rate <= 0.5 AS kept
 FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source""",
+    "op9_decontaminate": r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM iw WHERE len(w) > 0) s),
+sizes AS (SELECT DISTINCT n FROM wins),
+dwin AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n) s),
+occ AS (SELECT DISTINCT doc_id, dwin.n, i, item_id FROM dwin JOIN wins USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM occ) s GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM occ) s GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""",
     "op8_warc": r"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
 d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS hex FROM p),
