@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import binary_ids, common, decontaminate, line_dedup, packing, quality, simhash, warc
+from strata.llm import binary_ids, common, decontaminate, line_dedup, packing, quality, simhash, substring_dedup, warc
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,6 +24,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_substrings(common.read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     out = quality.judged(docs)
@@ -55,7 +60,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_line_dedup, op4_host_rules, op6_packed_ids, op7_simhash,
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_line_dedup, op3_substring_dedup, op4_host_rules, op6_packed_ids, op7_simhash,
                                    op8_warc, op9_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {
@@ -73,6 +78,21 @@ judged AS (SELECT keyed.*, held.keeper IS NOT NULL AND held.keeper <> doc_id AS
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op3_substring_dedup": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35) s),
+hashed AS (SELECT doc_id, i, md5_number(g) AS h FROM wins),
+twice AS (SELECT h FROM hashed GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM hashed SEMI JOIN twice USING (h)),
+lost AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM words),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op4_host_rules": r"""
 WITH words AS (
   SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w

@@ -67,7 +67,7 @@ def words(texts: Texts, white: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def _odd(seed: int) -> int:
+def odd(seed: int) -> int:
     x = (seed * 0x9E3779B97F4A7C15 + 0xD1342543DE82EF95) & (2**64 - 1)
     x ^= x >> 29
     return ((x * 0xBF58476D1CE4E5B9) & (2**64 - 1) & ~7) | 5
@@ -99,7 +99,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
     """A 64-bit hash of each span's bytes (spans in ascending order). Depends on the bytes alone."""
     out = np.empty(len(starts), dtype=U64)
-    base = _odd(seed)
+    base = odd(seed)
     pw, ip = powers(base, _STEP + _LONG)
     lens = (ends - starts).astype(U64)
     long_ = ends - starts > _LONG
