@@ -107,12 +107,13 @@ ASK_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("part", p
 ANSWER = "kind int, bucket long, part long, reply binary"
 
 
-def ask(corpus: Corpus, columns: list[str], keys_of: Callable[[int, pa.Table], Iterator[tuple]]) -> DataFrame:
+def ask(corpus: Corpus, columns: list[str], keys_of: Callable[[int, pa.Table], Iterator[tuple]],
+        part_bytes: int = PART_BYTES) -> DataFrame:
     """Rows (kind, bucket, part, keys, extra) that ``keys_of(part, rows)`` yields (without the part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         add, flush = common.arrow_rows(ASK_SCHEMA, 512)
-        for part, table in parts_of(batches):
+        for part, table in parts_of(batches, part_bytes):
             for kind, bucket, keys, extra in keys_of(part, table):
                 yield from add((kind, bucket, part, keys, extra))
         yield from flush()
@@ -123,9 +124,9 @@ def ask(corpus: Corpus, columns: list[str], keys_of: Callable[[int, pa.Table], I
 def answer(asked: DataFrame, reply: Callable) -> DataFrame:
     """One call of ``reply(kind, bucket, keys, extras)`` for each bucket, with lists over the parts (in
     ascending order); it returns a blob a part."""
-    import pandas as pd
+    def run(key, group):
+        import pandas as pd
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("part", kind="stable")
         out = reply(int(key[0]), int(key[1]), group["keys"].tolist(), group["extra"].tolist())
         return pd.DataFrame({"kind": group["kind"], "bucket": group["bucket"], "part": group["part"], "reply": out})

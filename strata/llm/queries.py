@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import binary_ids, common, decontaminate, line_dedup, packing, quality, simhash, substring_dedup, warc
+from strata.llm import binary_ids, common, ctw, decontaminate, line_dedup, packing, quality, simhash, substring_dedup, warc
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,8 +60,13 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents")
+    return ctw.score(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+
+
 QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_line_dedup, op3_substring_dedup, op4_host_rules, op6_packed_ids, op7_simhash,
-                                   op8_warc, op9_decontaminate)}
+                                   op8_warc, op9_decontaminate, op10_ctw_score)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": r"""
