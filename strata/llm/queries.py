@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import binary_ids, common, ctw, decontaminate, line_dedup, packing, quality, simhash, substring_dedup, warc
+from strata.llm import binary_ids, common, ctw, decontaminate, line_dedup, packing, quality, simhash, substring_dedup, token_counts, warc
 
 
 def tokenizer_path(name: str) -> str:
@@ -35,6 +35,11 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents")
+    return token_counts.count_lines(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
 def op6_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
     return binary_ids.read_ids(binary_ids.write_ids(docs, tokenizer_path("word_bpe_49k.json")))
@@ -65,8 +70,9 @@ def op10_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_line_dedup, op3_substring_dedup, op4_host_rules, op6_packed_ids, op7_simhash,
-                                   op8_warc, op9_decontaminate, op10_ctw_score)}
+QUERIES = {f.__name__: f for f in (
+    op1_curve_packing, op2_line_dedup, op3_substring_dedup, op4_host_rules, op5_token_counts, op6_packed_ids,
+    op7_simhash, op8_warc, op9_decontaminate, op10_ctw_score)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": r"""
