@@ -280,9 +280,9 @@ def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
         for part, table in parts.parts_of(batches, PART_BYTES):
             p = _Part(table, depth, buckets)
             found = answers.of(part)
-            logp = np.bincount(p.grams.text, weights=p.grams.answers(found.get(GRAM, {}), "<f8"), minlength=p.n)
+            logp = np.bincount(p.grams.text, weights=p.grams.answers(found.get(GRAM, {}), "<f8"), minlength=p.n).astype(float)
             c = p.words.answers(found.get(WORD, {}), "<u8").astype(np.float64)
-            base = np.bincount(p.words.text, weights=np.log10((c + 1) / (tokens + types + 1)), minlength=p.n)
+            base = np.bincount(p.words.text, weights=np.log10((c + 1) / (tokens + types + 1)), minlength=p.n).astype(float)
             base += math.log10((ends + 1) / (tokens + types + 1))
             n = np.bincount(p.words.text, minlength=p.n) + 1
             known = np.bincount(p.words.text[c > 0], minlength=p.n) + (ends > 0)
