@@ -113,7 +113,7 @@ def host_rates(rows: DataFrame, host: str, failed: Column) -> DataFrame:
     weight = F.col("n") - F.try_divide("n2", "n")
     v = F.try_divide(spread - (F.col("hosts") - 1) * m * (1 - m), weight)
     strength = F.when(v > 0, F.least(F.greatest(F.try_divide(m * (1 - m), v) - 1, F.lit(1.0)), F.lit(1e6))).otherwise(1e6)
-    prior = total.select(m.alias("m"), strength.alias("strength"))  # one row
-    return per.join(F.broadcast(prior)).select(
-        host, "docs", "failures",
-        F.try_divide(F.col("failures") + F.col("m") * F.col("strength"), F.col("docs") + F.col("strength")).alias("rate"))
+    prior = total.select(m.alias("m"), strength.alias("strength")).first()  # one row of two numbers
+    mean, strength = F.lit(float(prior["m"] or 0.0)), F.lit(float(prior["strength"]))
+    return per.select(host, "docs", "failures",
+                      F.try_divide(F.col("failures") + mean * strength, F.col("docs") + strength).alias("rate"))
