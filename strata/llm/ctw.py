@@ -172,14 +172,18 @@ class _Part:
         row = np.repeat(np.arange(n), lens)
         stream[np.arange(len(texts.data)) + row * (depth + 1) + depth] = texts.data
         here = np.bincount(stream, minlength=256) > 0
-        dense = (np.cumsum(here) - 1).astype(U64)
+        dense = (np.cumsum(here) - 1).astype(np.uint8)
         radix = int(here.sum())
         at = spans.ragged(texts.offsets[:-1] + np.arange(n) * (depth + 1), lens + 1)  # first byte of each gram
+        at = at.astype(np.int32) if len(stream) < 1 << 31 else at
         code = np.zeros(len(at), dtype=U64)
         small = dense[stream]
         for k in range(depth + 1):
-            code = code * U64(radix) + small[at + k]
+            code *= U64(radix)
+            code += small[at + k]
+        del at, small, stream, row
         own, inverse, _ = spans.group(code, max(1, (radix ** (depth + 1) - 1).bit_length()))
+        del code
         letters = np.flatnonzero(here).astype(U64)
         key, rest = np.zeros(len(own), dtype=U64), own.copy()
         for k in range(depth + 1):  # the same order: the alphabet is mapped in ascending order

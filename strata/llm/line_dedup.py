@@ -65,6 +65,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     holders = (lines.select("hash", "doc").distinct().groupBy("hash")
                .agg(F.count(F.lit(1)).alias("docs"), F.min(order).alias("keeper"))
                .where(F.col("docs") >= min_docs).select("hash", F.col("keeper.doc").alias("keeper")))
+    # stored: both sides of the join below are then shuffled for it, and a hot line's rows can be split
+    holders = common.store(holders, "line-holders")
     lost = (lines.join(holders, "hash").where(~F.col("doc").eqNullSafe(F.col("keeper")))
             .groupBy("doc", "version").agg(F.collect_set("pos").alias("lost")))
     out = docs.drop("n_lines", "n_dropped")

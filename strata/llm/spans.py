@@ -130,7 +130,8 @@ def order_of(values: np.ndarray, bits: int = 64) -> np.ndarray:
     need = max(1, (len(values) - 1).bit_length())
     low = max(0, bits + need - 64)  # bits that do not fit beside the position
     s = np.sort(((values >> U64(low)) << U64(need)) | np.arange(len(values), dtype=U64))
-    order = (s & U64((1 << need) - 1)).astype(np.int64)
+    s &= U64((1 << need) - 1)
+    order = s.astype(np.int32 if need <= 31 else np.int64)
     if low:
         s = values[order]
         if not (s[1:] >= s[:-1]).all():
@@ -149,9 +150,12 @@ def group(values: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray, n
     new[0] = True
     np.not_equal(s[1:], s[:-1], out=new[1:])
     at = np.flatnonzero(new)
-    inverse = np.empty(n, dtype=np.int64)
-    inverse[order] = np.cumsum(new) - 1
-    return s[at], inverse, np.diff(at, append=n)
+    s = s[at]
+    run = np.cumsum(new, dtype=order.dtype)
+    run -= 1
+    inverse = np.empty(n, dtype=order.dtype)
+    inverse[order] = run
+    return s, inverse, np.diff(at, append=n)
 
 
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
