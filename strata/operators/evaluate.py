@@ -43,7 +43,7 @@ def lift_at_k(scored: DataFrame, k: float = LIFT_K, key="key", y="y_true", p="y_
         F.sum(F.when(F.col("pos") < cut, F.col(y)).otherwise(0)).alias("_tp"),
         F.first("total_pos").alias("_p"),
     )
-    cap = F.col("_tp") / F.col("_p")
+    cap = F.try_divide("_tp", "_p")
     return agg.select(
         F.lit(float(k)).alias("k"),
         F.round(cap / F.lit(float(k)), 4).alias("lift"),
@@ -65,13 +65,13 @@ def centile_analysis(scored: DataFrame, centiles: Sequence[int] = CENTILES, key=
     for c in centiles:
         nt = F.floor(F.col("_n") * c / 100)
         tp = F.col(f"_tp{c}")
-        rate = F.col("_p") / F.col("_n")
-        prec = F.when(nt > 0, tp / nt).otherwise(F.lit(0.0))
+        rate = F.try_divide("_p", "_n")
+        prec = F.when(nt > 0, F.try_divide(tp, nt)).otherwise(F.lit(0.0))
         rows.append((
             F.lit(model), F.lit(c), nt.cast("long"), tp.cast("long"),
-            F.round(tp / F.col("_p") * 100, 2),
+            F.round(F.try_divide(tp, F.col("_p")) * 100, 2),
             F.round(prec, 4),
-            F.round(F.when((rate > 0) & (nt > 0), (tp / nt) / rate).otherwise(F.lit(0.0)), 4),
+            F.round(F.when((rate > 0) & (nt > 0), F.try_divide(F.try_divide(tp, nt), rate)).otherwise(F.lit(0.0)), 4),
         ))
     return _stack(wide, rows, ["model", "centile", "n", "n_pos", "capture_pct", "precision", "lift"])
 
@@ -89,13 +89,13 @@ def lift_table(scored: DataFrame, key="key", y="y_true", p="y_proba", model: str
     )
     # ten rows: an unpartitioned window is bounded here
     cum = Window.orderBy("gain_decile").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rate = F.col("_p") / F.col("_n")
+    rate = F.try_divide("_p", "_n")
     pos_rate = F.round(F.col("n_pos") / F.col("n"), 4)
     return t.select(
         "gain_decile", "n", "n_pos", F.round("avg_score", 6).alias("avg_score"),
         pos_rate.alias("pos_rate"),
-        F.round(pos_rate / rate, 4).alias("lift"),
-        F.round(F.sum("n_pos").over(cum) / F.col("_p") * 100, 2).alias("cum_cap_pct"),
+        F.round(F.try_divide(pos_rate, rate), 4).alias("lift"),
+        F.round(F.try_divide(F.sum("n_pos").over(cum), F.col("_p")) * 100, 2).alias("cum_cap_pct"),
         F.lit(model).alias("model"),
     )
 
@@ -103,9 +103,10 @@ def lift_table(scored: DataFrame, key="key", y="y_true", p="y_proba", model: str
 def gain_curve(scored: DataFrame, points: int = 200, key="key", y="y_true", p="y_proba") -> DataFrame:
     """Cumulative gain and lift at every ``step = max(1, n // points)`` rows: population %, captured %, lift."""
     r = ranked(scored, key, y, p)
-    n = r.select("total_rows").limit(1).collect()[0][0]
+    row = r.select("total_rows").first()
+    n = row[0] if row else 0
     step = max(1, n // points)
-    n_points = (n - 1) // step + 1  # i = 1, 1+step, ... <= n
+    n_points = (n - 1) // step + 1 if n else 0  # i = 1, 1+step, ... <= n
     # a row at position pos is inside the top i rows for every point j with 1 + j*step > pos
     first_point = F.ceil(F.col("pos") / F.lit(step)).cast("long")
     hits = r.groupBy(first_point.alias("j")).agg(F.sum(y).alias("_hits"))
@@ -119,13 +120,13 @@ def gain_curve(scored: DataFrame, points: int = 200, key="key", y="y_true", p="y
         .withColumn("i", F.col("j") * step + 1)
         .withColumn("captured", F.sum(F.coalesce("_hits", F.lit(0))).over(cum))
     )
-    pct_pop = F.col("i") / F.lit(n) * 100
-    pct_cap = F.col("captured") / F.col("_p") * 100
+    pct_pop = F.try_divide(F.col("i"), F.lit(n)) * 100
+    pct_cap = F.try_divide("captured", "_p") * 100
     return curve.select(
         F.col("i").alias("n_top"),
         F.round(pct_pop, 6).alias("pct_population"),
         F.round(pct_cap, 6).alias("pct_captured"),
-        F.round(F.when(pct_pop > 0, pct_cap / pct_pop).otherwise(F.lit(1.0)), 6).alias("lift"),
+        F.round(F.when(pct_pop > 0, F.try_divide(pct_cap, pct_pop)).otherwise(F.lit(1.0)), 6).alias("lift"),
     )
 
 
@@ -138,7 +139,7 @@ def average_precision(scored: DataFrame, y="y_true", p="y_proba", digits: int =
     """Step-wise AP: sum over distinct thresholds of (recall gain) * precision."""
     s = _stats(scored, y, p)
     return s.agg(
-        F.round(F.sum(F.col("pos_s") * (F.col("cum_pos") / F.col("cum_n"))) / F.sum("pos_s"), digits).alias("pr_auc")
+        F.round(F.try_divide(F.sum(F.col("pos_s") * (F.col("cum_pos") / F.col("cum_n"))), F.sum("pos_s")), digits).alias("pr_auc")
     )
 
 
@@ -152,14 +153,14 @@ def roc_auc(scored: DataFrame, y="y_true", p="y_proba", digits: int = 6) -> Data
         F.sum(F.col("pos_s") * ((F.col("total_n") - F.col("cum_n")) + (F.col("n_s") + 1) / 2)).alias("_ranksum"),
     )
     p_, n_ = F.col("_p"), F.col("_n") - F.col("_p")
-    return agg.select(F.round((F.col("_ranksum") - p_ * (p_ + 1) / 2) / (p_ * n_), digits).alias("roc_auc"))
+    return agg.select(F.round(F.try_divide(F.col("_ranksum") - p_ * (p_ + 1) / 2, p_ * n_), digits).alias("roc_auc"))
 
 
 def pr_curve(scored: DataFrame, y="y_true", p="y_proba") -> DataFrame:
     """Precision, recall and F1 at every distinct score taken as threshold (score >= t)."""
     s = _stats(scored, y, p)
     prec = F.col("cum_pos") / F.col("cum_n")
-    rec = F.col("cum_pos") / F.col("total_pos")
+    rec = F.try_divide("cum_pos", "total_pos")
     return s.select(
         F.col(p).alias("threshold"),
         F.col("cum_pos").alias("tp"),
@@ -179,7 +180,9 @@ def best_f1_threshold(scored: DataFrame, y="y_true", p="y_proba") -> DataFrame:
 def confusion_at(scored: DataFrame, thresholds: Sequence[float], y="y_true", p="y_proba",
                  optimal: float | None = None) -> DataFrame:
     """tp/fp/tn/fn, precision, recall, F1 and predicted share for each threshold (one pass)."""
-    ts = sorted(set(float(t) for t in thresholds) | ({float(optimal)} if optimal is not None else set()))
+    # an optimum equal to a fixed threshold keeps a row of its own
+    marked = sorted({(float(t), False) for t in thresholds} | ({(float(optimal), True)} if optimal is not None else set()))
+    ts = [t for t, _ in marked]
     yc, pc = F.col(y), F.col(p)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, t in enumerate(ts):
@@ -198,10 +201,10 @@ def confusion_at(scored: DataFrame, thresholds: Sequence[float], y="y_true", p="
         rec = F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0))
         f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
         rows.append((
-            F.lit(round(t, 4)), (tp + fp).cast("long"), F.round((tp + fp) / F.col("_n") * 100, 2),
+            F.lit(round(t, 4)), (tp + fp).cast("long"), F.round(F.try_divide(tp + fp, F.col("_n")) * 100, 2),
             tp.cast("long"), fp.cast("long"), tn.cast("long"), fn.cast("long"),
             F.round(prec, 4), F.round(rec, 4), F.round(f1, 4),
-            F.lit(optimal is not None and abs(t - optimal) < 1e-6),
+            F.lit(marked[i][1]),
         ))
     names = ["threshold", "n_predicted_pos", "pct_predicted_pos", "tp", "fp", "tn", "fn",
              "precision", "recall", "f1", "is_optimal_f1"]

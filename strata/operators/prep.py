@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,8 +58,8 @@ def string_index(df: DataFrame, columns: Sequence[str] = CAT_COLS, suffix: str =
 
     Fitting collects one (label, count) list per column: bounded by the category cardinality.
     """
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}{suffix}", handleInvalid="keep") for c in columns]
-    return Pipeline(stages=stages).fit(df).transform(df)
+    indexer = StringIndexer(inputCols=list(columns), outputCols=[f"{c}{suffix}" for c in columns], handleInvalid="keep")
+    return indexer.fit(df).transform(df)  # one job counts the categories of all columns
 
 
 def encode_features(df: DataFrame, cat_cols: Sequence[str] = CAT_COLS, drop_cols: Sequence[str] = DROP_COLS,
@@ -92,7 +91,17 @@ def split_rates(split: DataFrame, label: str) -> DataFrame:
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = SEED) -> DataFrame:
     """Exactly ``n`` rows (or all), the first in hash order: distributed, no single-task top-n."""
-    ranked = prefix_sums(df, [hash_order(key, seed), F.col(key)], None, totals=False)
+    # a cut-off on a hash keeps a few more than n rows; only those are ordered exactly
+    total = df.count()
+    if n >= total:
+        return df
+    top = (1 << 32) - 1
+    share = F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("long")
+    rest, cut = None, int(top * min(1.0, (n + 6 * n**0.5 + 50) / total))
+    while rest is None or cut < top and rest.count() < n:  # the margin is six deviations; widen it if it fails
+        cut = cut if rest is None else min(top, 2 * cut + 1)
+        rest = df.where(share <= cut)
+    ranked = prefix_sums(rest, [hash_order(key, seed), F.col(key)], None, totals=False)
     return ranked.filter(F.col("pos") < n).drop("pos")
 
 
@@ -108,16 +117,17 @@ def undersample(df: DataFrame, label: str, key: str, targets: Mapping[int, int],
 
 def class_weight(df: DataFrame, label: str, mode: str = "scale_pos") -> DataFrame:
     """Adds ``weight``: ``scale_pos`` gives positives neg/pos and negatives 1; ``balanced`` gives
-    n / (n_classes * n_c). Class counts are one row per class (bounded), broadcast."""
+    n / (n_classes * n_c). Class counts are one row per class; Spark broadcasts them by
+    their size. Without a positive, ``scale_pos`` has no row to weigh; null labels are a class of their own."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c"))
     # one row per class: the window over it and the broadcast are bounded by the class count
-    w = F.broadcast(counts.selectExpr(
-        label, "_n_c",
+    w = (counts.selectExpr(
+        f"{label} as _class", "_n_c",
         "sum(_n_c) over () as _n", "count(1) over () as _k",
         f"sum(case when {label} = 1 then _n_c end) over () as _pos"))
-    out = df.join(w, label, "left")
+    out = df.join(w, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
     if mode == "balanced":
-        weight = F.col("_n") / (F.col("_k") * F.col("_n_c"))
+        weight = F.try_divide(F.col("_n"), F.col("_k") * F.col("_n_c"))
     else:
-        weight = F.when(F.col(label) == 1, (F.col("_n") - F.col("_pos")) / F.col("_pos")).otherwise(F.lit(1.0))
+        weight = F.when(F.col(label) == 1, F.try_divide(F.col("_n") - F.col("_pos"), F.col("_pos"))).otherwise(F.lit(1.0))
     return out.withColumn("weight", weight).drop("_n_c", "_n", "_k", "_pos")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.features import LABELS
-from strata.operators.rank import class_positions, quantile_positions
+from strata.operators.rank import prefix_sums
 
 
 def _stack(wide: DataFrame, rows: list[tuple[Column, ...]], names: list[str]) -> DataFrame:
@@ -31,7 +31,7 @@ def label_distribution(df: DataFrame, labels: Sequence[str] = LABELS, key: str =
         *(F.sum(c).cast("long").alias(c) for c in labels),
         F.sum(label_any(df, labels)).cast("long").alias("any_product"),
     )
-    rates = [F.round(F.col(c) / F.col("total") * 100, 4).alias(f"{c}_pct") for c in [*labels, "any_product"]]
+    rates = [F.round(F.try_divide(c, "total") * 100, 4).alias(f"{c}_pct") for c in [*labels, "any_product"]]
     return agg.select("*", *rates)
 
 
@@ -39,7 +39,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     """Columns with at least one null: count and percentage (2 digits)."""
     wide = df.agg(F.count(F.lit(1)).alias("_n"), *(F.count_if(F.col(c).isNull()).alias(f"_null_{i}")
                                                    for i, c in enumerate(df.columns)))
-    rows = [(F.lit(c), F.col(f"_null_{i}").cast("long"), F.round(F.col(f"_null_{i}") / F.col("_n") * 100, 2))
+    rows = [(F.lit(c), F.col(f"_null_{i}").cast("long"), F.round(F.try_divide(f"_null_{i}", "_n") * 100, 2))
             for i, c in enumerate(df.columns)]
     return _stack(wide, rows, ["column", "n_null", "null_pct"]).filter(F.col("n_null") > 0)
 
@@ -51,33 +51,31 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def exact_percentiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> DataFrame:
-    """Exact linear percentiles of many columns in one distributed job.
+    """Exact linear percentiles of many columns in one distributed job (nulls ignored).
 
-    All columns are unpivoted into (column, value), ordered once by (column, value) with
-    per-column positions; only the values at the interpolation positions are kept, so the
-    result has at most 2 * len(qs) rows per column. Columns become classes of ``class_positions``.
+    All columns are unpivoted into (column, value) and equal values are counted first, in each task and
+    then over all: a value that fills a column (a zero-filled amount) is one row from there on. The
+    distinct values are ordered once by (column, value) with running counts, and the value at a position
+    is the one whose run covers it. The result has at most 2 * len(qs) rows per column.
     """
-    long = _long(df, columns)
-    ranked = class_positions(long, "column", [F.col("value").asc()])
-    qarr = F.array(*(F.lit(float(q)) for q in qs))
-
-    def bounds(q: Column):
-        h = (F.col("n_class") - 1) * q
-        lo = F.floor(h)
-        return lo, F.least(lo + 1, F.col("n_class") - 1), h - lo
-
+    counts = _long(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = prefix_sums(counts, [F.col("column").asc(), F.col("value").asc()], {"n": "_n"}, totals=False)
+    size = ranked.groupBy("column").agg(F.max("cum_n").alias("_upto"), F.sum("_n").alias("n_class"))
+    ranked = ranked.join(size, "column")  # one row per column
+    base = F.col("_upto") - F.col("n_class")
+    first, last = F.col("cum_n") - F.col("_n") - base, F.col("cum_n") - base - 1
     hits = []
     for i, q in enumerate(qs):
-        lo, hi, _ = bounds(F.lit(float(q)))
-        hits.append(F.when((F.col("pos_in_class") == lo) | (F.col("pos_in_class") == hi), F.lit(i)))
-    picked = ranked.select("column", "value", "pos_in_class", "n_class", F.explode(F.array(*hits)).alias("_i"))
-    picked = picked.filter(F.col("_i").isNotNull())
-    lo, hi, t = bounds(F.element_at(qarr, F.col("_i") + 1))
-    g = picked.groupBy("column", "_i").agg(
-        F.max(F.when(F.col("pos_in_class") == lo, F.col("value"))).alias("_a"),
-        F.max(F.when(F.col("pos_in_class") == hi, F.col("value"))).alias("_b"),
-        F.first(t).alias("_t"),
-    ).select("column", "_i", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t")).alias("_v"))
+        h = (F.col("n_class") - 1) * F.lit(float(q))
+        lo = F.floor(h)
+        hi = F.least(lo + 1, F.col("n_class") - 1)
+        holds = lambda p: (first <= p) & (p <= last)
+        hits.append(F.struct(F.lit(i).alias("i"), F.when(holds(lo), F.col("value")).alias("a"),
+                             F.when(holds(hi), F.col("value")).alias("b"), (h - lo).alias("t")))
+    picked = ranked.select("column", F.explode(F.filter(F.array(*hits), lambda x: x["a"].isNotNull() | x["b"].isNotNull())).alias("_h"))
+    g = picked.groupBy("column", F.col("_h.i").alias("_i")).agg(
+        F.max("_h.a").alias("_a"), F.max("_h.b").alias("_b"), F.first("_h.t").alias("_t"))
+    g = g.select("column", "_i", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t")).alias("_v"))
     out = g.groupBy("column").pivot("_i", list(range(len(qs)))).agg(F.first("_v"))
     return out.select("column", *(F.col(str(i)).alias(f"q{i}") for i in range(len(qs))))
 
@@ -122,30 +120,44 @@ def corr_with_label(df: DataFrame, columns: Sequence[str], label: str, digits: i
 def corr_pairs(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
     """Upper triangle of the correlation matrix, long form ``(feature_a, feature_b, correlation)``.
 
-    Two passes, numerically stable: the column means (one row, bounded by the column count), then
-    one Gramian pass (Spark ML ``Correlation``: a tree aggregate of k x k outer products) over the
-    mean-centred rows. The k x k result is bounded by the number of columns, never by the rows.
-    A constant column gives null. Rows with a null in any column are left out.
+    Pairwise complete: a null in one column removes the row from that column's pairs alone. Two passes,
+    numerically stable: the column means (one row), then one aggregate of centred products over the
+    rows, reduced in each task first. The k x k sums are bounded by the number of columns, never by the
+    rows. A constant column gives null.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
     cols = list(columns)
     spark = df.sparkSession
-    complete = df.select(*(F.col(c).cast("double").alias(c) for c in cols)).dropna()
-    means = complete.agg(*(F.avg(c).alias(c) for c in cols)).first()
-    if means is None or means[cols[0]] is None:
-        return spark.createDataFrame([], "feature_a string, feature_b string, correlation double")
-    centred = complete.select(*((F.col(c) - F.lit(means[c])).alias(c) for c in cols))
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(centred).select("_v")
-    matrix = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    out_type = "feature_a string, feature_b string, correlation double"
+    narrow = df.select(*(F.col(c).cast("double").alias(c) for c in cols))
+    means = narrow.agg(*(F.avg(c).alias(c) for c in cols)).first()
+    k = len(cols)
+    centred = narrow.select(*((F.col(c) - F.lit(means[c] or 0.0)).alias(c) for c in cols))
+
+    def moments(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((6, k, k))
+        for b in batches:
+            x = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(k)]).astype(float)
+            ok = ~np.isnan(x)
+            x, m = np.where(ok, x, 0.0), ok.astype(float)
+            # over the rows complete in both: n, sums of a and b, of squares, of products
+            total += np.stack([m @ m.T, x @ m.T, m @ x.T, (x * x) @ m.T, m @ (x * x).T, x @ x.T])
+        yield pa.RecordBatch.from_arrays([pa.array(range(6 * k * k), pa.int32()), pa.array(total.ravel())], names=["i", "v"])
+
+    sums = [0.0] * (6 * k * k)
+    for r in centred.mapInArrow(moments, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+        sums[r["i"]] = r["v"]
+    at = lambda q, i, j: sums[(q * k + i) * k + j]
     rows = []
     for i, a in enumerate(cols):
-        for j in range(i + 1, len(cols)):
-            v = float(matrix[i, j])
-            rows.append((a, cols[j], None if v != v else v))
-    out = spark.createDataFrame(rows, "feature_a string, feature_b string, correlation double")
-    return out.withColumn("correlation", F.round("correlation", digits))
+        for j in range(i + 1, k):
+            n, sa, sb, qa, qb, p = (at(q, i, j) for q in range(6))
+            va, vb = (qa - sa * sa / n, qb - sb * sb / n) if n > 1 else (0.0, 0.0)
+            flat = va <= 1e-12 * max(qa, 1e-300) or vb <= 1e-12 * max(qb, 1e-300)
+            rows.append((a, cols[j], None if n < 2 or flat else (p - sa * sb / n) / (va * vb) ** 0.5))
+    return spark.createDataFrame(rows, out_type).withColumn("correlation", F.round("correlation", digits))
 
 
 def age_by_label(df: DataFrame, label: Column) -> DataFrame:
@@ -154,5 +166,3 @@ def age_by_label(df: DataFrame, label: Column) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
     )
 
-
-__all__ = ["quantile_positions"]

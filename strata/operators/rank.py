@@ -171,13 +171,13 @@ def class_positions(df: DataFrame, label: str, order: Sequence[Column | str], pa
     classes, so a class holding most rows is still spread over many tasks.
     """
     ranked = prefix_sums(df, [F.col(label).asc(), *_order_cols(order)], None, partitions, totals=False)
-    # counted on the checkpointed rows, so the upstream plan is not evaluated a second time
-    counts = ranked.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    # one row per class value: bounded by the number of classes
-    w = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    # counted on the stored rows, so the upstream plan is not evaluated a second time
+    counts = ranked.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("n_class"))
+    # one row per class value (null is a class, the first): bounded by the number of classes
+    w = Window.orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("n_class").over(w), F.lit(0)))
     return (
-        ranked.join(F.broadcast(counts), label, "inner")
+        ranked.join(counts, F.col(label).eqNullSafe(F.col("_class")), "inner")
         .withColumn("pos_in_class", F.col("pos") - F.col("_before"))
-        .drop("_before", "pos")
+        .drop("_before", "pos", "_class")
     )

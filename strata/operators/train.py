@@ -26,8 +26,13 @@ SEED = 42
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
+    """All columns but ``exclude``, which must be numeric: a column is left out by name, never by its type."""
     numeric = ("int", "bigint", "double", "float", "smallint", "tinyint", "decimal")
-    return [c for c, t in df.dtypes if c not in set(exclude) and t.split("(")[0] in numeric]
+    features = [(c, t) for c, t in df.dtypes if c not in set(exclude)]
+    odd = [c for c, t in features if t.split("(")[0] not in numeric]
+    if odd:
+        raise ValueError(f"columns that are not numeric: {odd}; encode them or exclude them by name")
+    return [c for c, _ in features]
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = FEATURES) -> DataFrame:
@@ -51,6 +56,11 @@ def fit(estimator, df: DataFrame, features: Sequence[str]):
     return estimator.fit(assemble(df, features))
 
 
+def positive(column: str) -> Column:
+    """Probability of the positive class."""
+    return vector_to_array(column)[1]
+
+
 def score(model, df: DataFrame, features: Sequence[str], out: str = "y_proba", keep: Sequence[str] = ()) -> DataFrame:
     """Positive-class probability for every row (``model.transform``; no chunking needed)."""
     scored = model.transform(assemble(df, features))
@@ -88,34 +98,33 @@ def grouped_average_precision(df: DataFrame, group: str, y: str, p: str) -> Data
     sums, minus each group's offset (one row per group, bounded)."""
     stats = df.groupBy(group, p).agg(F.count(F.lit(1)).alias("n_s"), F.sum(y).cast("long").alias("pos_s"))
     ranked = prefix_sums(stats, [F.col(group).asc(), F.col(p).desc()], {"n": "n_s", "pos": "pos_s"}, totals=False)
-    per = stats.groupBy(group).agg(F.sum("n_s").alias("_gn"), F.sum("pos_s").alias("_gp"))
+    # from the stored order, so the scoring is not run again
+    per = ranked.groupBy(group).agg(F.sum("n_s").alias("_gn"), F.sum("pos_s").alias("_gp"))
     w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(group, "_gp", F.coalesce(F.sum("_gn").over(w), F.lit(0)).alias("_on"),
                      F.coalesce(F.sum("_gp").over(w), F.lit(0)).alias("_op"))
-    r = ranked.join(F.broadcast(per), group)
+    r = ranked.join(per, group)
     tp = F.col("cum_pos") - F.col("_op")
     n = F.col("cum_n") - F.col("_on")
-    return r.groupBy(group).agg((F.sum(F.col("pos_s") * (tp / n)) / F.first("_gp")).alias("ap"))
+    return r.groupBy(group).agg(F.try_divide(F.sum(F.col("pos_s") * (tp / n)), F.first("_gp")).alias("ap"))
 
 
 def _permuted(df: DataFrame, features: Sequence[str], key: str, seed: int, buckets: int) -> DataFrame:
     """Long frame ``(other columns, _feature, features)``: for each feature f, every row with f
     replaced by another row's value, as a model-ready vector.
 
-    Rows are hashed into buckets; inside a bucket each feature's values are rotated by one position
-    along its own pseudo-random order (a random cyclic permutation). Buckets come from a hash of a
-    unique key, so none is larger than about n / buckets. Expressions grow with k, not k^2: the
-    variants are made by ``transform`` over one array of values.
+    Rows are hashed into buckets; inside a bucket every feature takes the value of the next row in one
+    pseudo-random order (a random cyclic permutation). A variant changes one feature alone, so all can
+    share the order: one sort of the rows a repeat. Buckets come from a hash of a unique key, so none is
+    larger than about n / buckets. Expressions grow with k, not k^2: the variants are made by
+    ``transform`` over one array of values.
     """
     bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
     d = df.withColumn("_b", bucket)
-    perm = {}
-    for i, f in enumerate(features):
-        order = F.xxhash64(F.col(key), F.lit(seed * 1000 + i))
-        w = Window.partitionBy("_b").orderBy(order, F.col(key))
-        wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        perm[f"_p{i}"] = F.coalesce(F.lead(F.col(f)).over(w), F.first(F.col(f)).over(wall)).cast("double")
-    d = d.withColumns(perm)
+    w = Window.partitionBy("_b").orderBy(F.xxhash64(F.col(key), F.lit(seed * 1000)), F.col(key))
+    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = d.withColumns({f"_p{i}": F.coalesce(F.lead(F.col(f)).over(w), F.first(F.col(f)).over(wall)).cast("double")
+                       for i, f in enumerate(features)})
     others = [c for c in df.columns if c not in set(features)]
     names = F.array(*(F.lit(f) for f in features))
     d = d.select(
@@ -154,25 +163,32 @@ def lift_of(model, df: DataFrame, features: Sequence[str], key: str, y: str, k:
 
 def rfe(estimator_factory, train: DataFrame, valid: DataFrame, features: Sequence[str], key: str, y: str,
         drop_fraction: float = 0.10, min_features: int = 10) -> DataFrame:
-    """Recursive elimination: fit, drop the least important 10 %, repeat while at least
-    ``min_features`` remain; every round is scored by lift on ``valid``. Returns one row per round
-    (round, n_features, lift, features); the best round has the highest lift."""
+    """Recursive elimination: fit, drop the least important 10 %, go on while at least ``min_features``
+    remain; every round is scored on ``valid``. One row per round: round, n_features, lift, capture, pr_auc,
+    features and ``best`` (the highest lift, then the fewest features)."""
     spark = train.sparkSession
-    current = list(features)
-    rows = []
-    rnd = 0
+    current, rows = list(features), []
     while True:
         model = fit(estimator_factory(), train, current)
-        lift = lift_of(model, valid, current, key, y)
-        rows.append((rnd, len(current), lift, current))
-        if len(current) < min_features:
-            break
+        s = score(model, valid, current, keep=[key, y])
+        at_k = ev.lift_at_k(s, key=key, y=y).first()
+        ap = ev.average_precision(s, y=y).first()["pr_auc"]
+        rows.append((len(rows), len(current), at_k["lift"], at_k["capture"], ap, current))
         imp = sorted(zip(model.featureImportances.toArray().tolist(), current), key=lambda t: (t[0], t[1]))
-        n_drop = max(1, int(len(current) * drop_fraction))
-        dropped = {f for _, f in imp[:n_drop]}
+        dropped = {f for _, f in imp[:max(1, int(len(current) * drop_fraction))]}
         current = [f for f in current if f not in dropped]
-        rnd += 1
-    return spark.createDataFrame(rows, "round int, n_features int, lift double, features array<string>")
+        if len(current) < min_features:
+            break
+    best = min(rows, key=lambda r: (-(r[2] if r[2] is not None else -1.0), r[1]))[0]
+    return spark.createDataFrame(
+        [(*r, r[0] == best) for r in rows],
+        "round int, n_features int, lift double, capture double, pr_auc double, features array<string>, best boolean")
+
+
+def consensus(rounds: Sequence[DataFrame]) -> DataFrame:
+    """Features in the best set of every elimination (one ``rfe`` result per model)."""
+    sets = [r.where("best").select(F.explode("features").alias("feature")) for r in rounds]
+    return reduce(DataFrame.intersect, sets)
 
 
 def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str], key: str, y: str, weight: str | None,

@@ -19,11 +19,19 @@ def base_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature(spark: SparkSession, sf_dir: str, group: str) -> DataFrame:
     g = feat.GROUPS[group]
-    return g.build(fx.entity(spark, sf_dir, g.entity), fx.AS_OF)
+    return rounded(g.build(fx.entity(spark, sf_dir, g.entity), fx.AS_OF))
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Standard deviations to four digits, as the reports show them (engines differ in the last bits)."""
+    from pyspark.sql import functions as F
+
+    cols = [c for c in ("std_balance", "std_flux_cred") if c in df.columns]
+    return df.withColumns({c: F.round(c, 4) for c in cols}) if cols else df
 
 
 def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_master(entities(spark, sf_dir), fx.AS_OF)
+    return rounded(build_master(entities(spark, sf_dir), fx.AS_OF))
 
 
 def master_slice(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,23 +40,31 @@ def run_clean(
 ) -> DataFrame:
     """Clean, write and register each selected entity; returns one status row per table.
 
-    Unknown names raise ``KeyError``; a table already written (non-empty) is skipped unless
-    ``force``; a failure of one table is recorded and the others still run; catalogue
-    registration failure is not fatal (the data is written).
+    An unknown name gets the status ``unknown``; a table already written (non-empty) is skipped unless
+    ``force``; a source that cannot be read is left out and named in ``error`` while another one can
+    (with none, the table fails); a failure of one table is recorded and the others still run;
+    catalogue registration failure is not fatal (the data is written), its reason is kept.
     """
     names = list(only) if only else list(specs)
-    unknown = [n for n in names if n not in specs]
-    if unknown:
-        raise KeyError(f"unknown tables: {unknown}")
     rows = []
     for name in names:
-        out = paths.table(database, name)
-        if not force and sinks.table_exists(spark, out):
-            rows.append((name, "skipped", None, None))
+        if name not in specs:
+            rows.append((name, "unknown", None, "no such table"))
             continue
         try:
+            out = paths.table(database, name)
+            if not force and sinks.table_exists(spark, out):
+                rows.append((name, "skipped", None, None))
+                continue
             spec = specs[name]
-            sources = [read_source(s) for s in spec.sources]
+            sources, notes = [], []
+            for s in spec.sources:
+                try:
+                    sources.append(read_source(s))
+                except Exception as e:  # an absent source
+                    notes.append(f"{s}: {e}")
+            if not sources:
+                raise ValueError("no source can be read: " + "; ".join(notes))
             if spec.allow_missing:
                 df = sources[0]
                 for other in sources[1:]:
@@ -66,10 +74,14 @@ def run_clean(
                 for other in sources[1:]:
                     df = df.unionByName(other)
             sinks.write_overwrite(clean(df, spec, as_of), out)
-            registered = catalog.register_table(spark, database, name, out, fatal=False)
-            rows.append((name, "written", registered, None))
+            try:
+                registered = catalog.register_table(spark, database, name, out)
+            except Exception as e:  # the data is written
+                registered = False
+                notes.append(f"registration: {e}")
+            rows.append((name, "written", registered, "; ".join(notes) or None))
         except Exception as e:  # isolate per-table failures
-            rows.append((name, "failed", None, str(e)[:500]))
+            rows.append((name, "failed", None, str(e)))
     return spark.createDataFrame(rows, "table string, status string, registered boolean, error string")
 
 
@@ -146,6 +158,7 @@ def register_bronze(spark: SparkSession, base: str, database: str = "bronze") ->
     rows = []
     for t in scan.list_tables(spark, base).select("table", "layout", "location").collect():  # one row per table
         if t["layout"] == "file":
+            rows.append((t["table"], t["layout"], t["location"], "skipped"))
             continue
         loc = scan.detect_layout(spark, f"{base.rstrip('/')}/{t['table']}")
         try:
@@ -153,7 +166,7 @@ def register_bronze(spark: SparkSession, base: str, database: str = "bronze") ->
             catalog.register_table(spark, database, t["table"], loc, schema)
             rows.append((t["table"], t["layout"], loc, "registered"))
         except Exception as e:  # noqa: BLE001 - recorded per table
-            rows.append((t["table"], t["layout"], loc, "error: " + str(e)[:200]))
+            rows.append((t["table"], t["layout"], loc, "error: " + str(e)))
     return spark.createDataFrame(rows, "table string, layout string, location string, status string")
 
 
@@ -220,7 +233,7 @@ def lakehouse_master(spark: SparkSession, sf_dir: str) -> DataFrame:
               for n, df in silver_tables.items() if n != "perimetre"]
     checks.append(gates.gate_stats(silver_tables["perimetre"], "perimetre", ["RADICAL"], gates.Gate()))
     gates.check(reduce(DataFrame.unionByName, checks))
-    master = build_master(silver_tables, fx.AS_OF)
+    master = gold.rounded(build_master(silver_tables, fx.AS_OF))
     gold_path = paths.table("gold", "master_table")
     sinks.write_overwrite(master, gold_path)
     gold = spark.read.parquet(gold_path)

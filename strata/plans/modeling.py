@@ -7,8 +7,6 @@ a test half (thresholds are never chosen on the data they are reported on).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +19,15 @@ from strata.session import cut_lineage, scratch_path
 
 KEY, Y, W = "RADICAL", "label_any", "weight"
 CORR_THRESHOLD = 0.95
-TOP_K_CONSENSUS = 15
+TEXT_COLS = ["BANQUE", "AGENCE"]
 TUNE_TRIALS = 4
 
 
 def model_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = gold.master_table(spark, sf_dir)
     m = m.withColumn(Y, profile.label_any(m))
+    m = cut_lineage(m)  # the caps and the category counts read it too
+    m = prep.cap_outliers(m, prep.cap_values(m))
     enc = prep.encode_features(m)
     enc = prep.class_weight(enc, Y)
     split = prep.stratified_split(enc, Y, KEY, 0.2)
@@ -37,7 +37,8 @@ def model_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features_of(df: DataFrame) -> list[str]:
-    return train.feature_columns(df, [KEY, Y, W, "split", *LABELS])
+    # identifiers and names that stay as text are left out by name
+    return train.feature_columns(df, [KEY, Y, W, "split", *LABELS, *TEXT_COLS])
 
 
 def _parts(spark, sf_dir):
@@ -115,11 +116,13 @@ def _base_models(d, feats):
 
 
 def _multi_score(models, df, feats):
-    out = df.select(KEY, Y, *feats)
+    """Scores of all models for every row, one pass: the models' columns have names of their own."""
+    out = train.assemble(df.select(KEY, Y, *feats), feats)
     for name, m in models.items():
-        s = train.score(m, out, feats, out=f"score_{name}", keep=[KEY])
-        out = out.join(s, KEY)
-    return out.select(KEY, Y, *(f"score_{n}" for n in models))
+        m = m.copy()
+        m.setProbabilityCol(f"_prob_{name}").setRawPredictionCol(f"_raw_{name}").setPredictionCol(f"_pred_{name}")
+        out = m.transform(out)
+    return out.select(KEY, Y, *(train.positive(f"_prob_{n}").alias(f"score_{n}") for n in models))
 
 
 def ensemble_stack(spark, sf_dir):
@@ -132,14 +135,11 @@ def ensemble_stack(spark, sf_dir):
 
 
 def feature_consensus(spark, sf_dir):
-    """Features in the top-k of all four models (intersection of one-column frames)."""
+    """Features that the eliminations of all models keep in their best round."""
     d, feats = _parts(spark, sf_dir)
-    tr = d.filter(F.col("split") == "train")
-    estimators = [train.gbt(Y, W, max_iter=30), train.gbt(Y, W, max_iter=30, max_depth=3),
-                  train.random_forest(Y, W, trees=50), train.random_forest(Y, W, trees=50, max_depth=5)]
-    tops = [train.feature_importance(train.fit(e, tr, feats), feats).limit(TOP_K_CONSENSUS).select("feature")
-            for e in estimators]
-    return reduce(DataFrame.intersect, tops)
+    tr, thr = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "thr")
+    families = [lambda: train.random_forest(Y, W, trees=30), lambda: train.random_forest(Y, W, trees=30, max_depth=5)]
+    return train.consensus([train.rfe(f, tr, thr, feats, KEY, Y) for f in families])
 
 
 def score_base(spark, sf_dir):
@@ -151,12 +151,15 @@ def score_base(spark, sf_dir):
     f1 = {}
     for n in models:
         t = float(ev.best_f1_threshold(thr, y=Y, p=f"score_{n}").first()["threshold"])
-        f1[n] = float(ev.confusion_at(test, [t], y=Y, p=f"score_{n}").first()["f1"]) or 1e-9
+        f1[n] = float(ev.confusion_at(test, [t], y=Y, p=f"score_{n}").first()["f1"])
     total = sum(f1.values())
+    if total == 0:
+        raise ValueError("no model finds a positive on the test half: the ensemble has no weights")
     weights = {f"score_{n}": v / total for n, v in f1.items()}
     ens_thr = thr.withColumn("score_ensemble", train.ensemble_columns(weights))
     cut = float(ev.best_f1_threshold(ens_thr, y=Y, p="score_ensemble").first()["threshold"])
-    full = _multi_score(models, d, feats).withColumn("score_ensemble", train.ensemble_columns(weights))
+    # stored once: the quantiles, the ranks and the output read it
+    full = cut_lineage(_multi_score(models, d, feats).withColumn("score_ensemble", train.ensemble_columns(weights)))
     edges = exact_quantiles(full, "score_ensemble", [j / 10 for j in range(1, 10)], key=KEY)
     ranked = average_rank(full, "score_ensemble", "rank")
     return ranked.select(

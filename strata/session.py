@@ -61,9 +61,9 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (eager) into the shared folder; survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder and read back: survives the loss of an executor, and later
+    steps read only the columns they need."""
+    return store(df, "cut")
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -30,6 +30,7 @@ class FixedField:
     start: int  # 1-based
     width: int
     dtype: str = "string"
+    nullable: bool = True  # a blank field is null; False: a blank field makes the line invalid
 
 
 def _route(valid_dir: str, invalid_dir: str, valid_pred, invalid_cols: Sequence[str], data_cols: Sequence[str]):
@@ -69,14 +70,16 @@ def ingest_csv(spark: SparkSession, landing: str, schema: StructType, valid_dir:
 
 
 def parse_fixed_width(lines: DataFrame, fields: Sequence[FixedField], line_col: str = "value") -> DataFrame:
-    """Cut each line into fields, trim, tolerant-cast; adds ``_valid`` (length and every field parsed)."""
+    """Cut each line into fields, trim, tolerant-cast; adds ``_valid``: the length is right, every field that is
+    not blank parsed, and no field that must hold a value is blank."""
     line = F.col(line_col)
     width = max(f.start + f.width - 1 for f in fields)
     parsed = [tolerant_cast(F.trim(F.substring(line, f.start, f.width)), f.dtype).alias(f.name) for f in fields]
     out = lines.select(line.alias("raw"), *parsed)
     ok = F.length("raw") == width
     for f in fields:
-        ok = ok & F.col(f.name).isNotNull()
+        blank = F.trim(F.substring(F.col("raw"), f.start, f.width)) == ""
+        ok = ok & (F.col(f.name).isNotNull() | (blank if f.nullable else F.lit(False)))
     return out.withColumn("_valid", ok)
 
 
