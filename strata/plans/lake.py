@@ -236,9 +236,9 @@ def lakehouse_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     master = gold.rounded(build_master(silver_tables, fx.AS_OF))
     gold_path = paths.table("gold", "master_table")
     sinks.write_overwrite(master, gold_path)
-    gold = spark.read.parquet(gold_path)
-    gates.check(gates.gate_stats(gold, "master_table", ["RADICAL"], gates.Gate()))
-    return gold
+    written = spark.read.parquet(gold_path)
+    gates.check(gates.gate_stats(written, "master_table", ["RADICAL"], gates.Gate()))
+    return written
 
 
 def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
