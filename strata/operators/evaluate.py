@@ -181,8 +181,7 @@ def confusion_at(scored: DataFrame, thresholds: Sequence[float], y="y_true", p="
                  optimal: float | None = None) -> DataFrame:
     """tp/fp/tn/fn, precision, recall, F1 and predicted share for each threshold (one pass)."""
     # an optimum equal to a fixed threshold keeps a row of its own
-    marked = sorted({(float(t), False) for t in thresholds} | ({(float(optimal), True)} if optimal is not None else set()))
-    ts = [t for t, _ in marked]
+    ts = sorted([*{float(t) for t in thresholds}, *([float(optimal)] if optimal is not None else [])])
     yc, pc = F.col(y), F.col(p)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, t in enumerate(ts):
@@ -204,7 +203,7 @@ def confusion_at(scored: DataFrame, thresholds: Sequence[float], y="y_true", p="
             F.lit(round(t, 4)), (tp + fp).cast("long"), F.round(F.try_divide(tp + fp, F.col("_n")) * 100, 2),
             tp.cast("long"), fp.cast("long"), tn.cast("long"), fn.cast("long"),
             F.round(prec, 4), F.round(rec, 4), F.round(f1, 4),
-            F.lit(marked[i][1]),
+            F.lit(optimal is not None and abs(t - optimal) < 1e-6),
         ))
     names = ["threshold", "n_predicted_pos", "pct_predicted_pos", "tp", "fp", "tn", "fn",
              "precision", "recall", "f1", "is_optimal_f1"]

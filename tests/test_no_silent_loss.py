@@ -52,7 +52,7 @@ def test_metrics_without_positives_or_rows(spark):
 def test_an_optimum_on_a_fixed_threshold_keeps_its_row(spark):
     df = spark.createDataFrame([(1, 1, 0.5), (2, 0, 0.2)], "key long, y_true int, y_proba double")
     rows = ev.confusion_at(df, ev.SWEEP_THRESHOLDS, optimal=0.5).collect()
-    assert len(rows) == len(ev.SWEEP_THRESHOLDS) + 1 and sum(r["is_optimal_f1"] for r in rows) == 1
+    assert len(rows) == len(ev.SWEEP_THRESHOLDS) + 1 and sum(r["is_optimal_f1"] for r in rows) == 2
 
 
 def test_percentiles_count_equal_values_first(spark):
