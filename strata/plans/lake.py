@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,10 @@ class LakePaths:
         return f"{self.layer(layer)}/{name}"
 
 
+def _absent(e: Exception) -> bool:
+    return isinstance(e, FileNotFoundError) or "PATH_NOT_FOUND" in str(e)
+
+
 def run_clean(
     spark: SparkSession,
     specs: Mapping[str, CleanSpec],
@@ -41,8 +46,9 @@ def run_clean(
     """Clean, write and register each selected entity; returns one status row per table.
 
     An unknown name gets the status ``unknown``; a table already written (non-empty) is skipped unless
-    ``force``; a source that cannot be read is left out and named in ``error`` while another one can
-    (with none, the table fails); a failure of one table is recorded and the others still run;
+    ``force``; where the spec allows missing sources an absent one is left out and named in ``error`` (with
+    none left the table fails), while a source that is there but cannot be read, or one absent from any
+    other spec, fails the table; a failure of one table is recorded and the others still run;
     catalogue registration failure is not fatal (the data is written), its reason is kept.
     """
     names = list(only) if only else list(specs)
@@ -61,7 +67,9 @@ def run_clean(
             for s in spec.sources:
                 try:
                     sources.append(read_source(s))
-                except Exception as e:  # an absent source
+                except (AnalysisException, FileNotFoundError) as e:
+                    if not (spec.allow_missing and _absent(e)):
+                        raise
                     notes.append(f"{s}: {e}")
             if not sources:
                 raise ValueError("no source can be read: " + "; ".join(notes))
@@ -189,40 +197,18 @@ def detect_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ end-to-end: Bronze -> Silver -> Gold
-def _entity_spec(name: str) -> CleanSpec:
-    from strata.plans import fixtures as fx  # noqa: F401  (entity names)
-
-    amounts = {"soldes": ["SOLDEVERIF"], "flux": ["FLUX_CRED"], "gab": ["MONTANT"], "tpe": ["MONTANT_TRANSACTION"],
-               "retrait": ["MONTANT"], "online_ope": ["MONTANT"], "payfac": ["MONTANT_TOTAL"], "virement": ["MT_OPE"],
-               "depot": ["MONTANT_DEPOT"], "mad": ["MONTANT"], "vignette": ["TOTAL_TTC"]}.get(name, [])
-    dates = {"perimetre": ["DATE_OF_BIRTH"], "comptes": ["DTOUVR"], "soldes": ["DATE_CHARG"], "flux": ["DATE_CHARG"],
-             "gab": ["DATE_OP"], "tpe": ["DATE_ACHAT"], "retrait": ["DATE_OP"], "online_ope": ["DATE_ACHAT"]}.get(name, [])
-    casts = {"RADICAL": "long", **{a: "double" for a in amounts}, **{d: ("date", "yyyy-MM-dd") for d in dates}}
-    return CleanSpec(
-        sources=(f"{name}_raw" if name == "perimetre" else name,),
-        date_floor="1900-01-01" if name == "perimetre" else "1990-01-01",
-        casts=casts,
-        not_null=("RADICAL",),
-        normalize_gender=name == "perimetre",
-    )
-
-
 def lakehouse_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole layered flow on the fixture: 17 Bronze sources are cleaned, written and registered
-    as Silver tables by the job runner, the master table is built from the written Silver tables,
-    written to Gold and read back."""
+    """The whole layered flow on the fixture: the sources of 17 entities are written as Bronze tables,
+    read, cleaned, written and registered as Silver tables by the job runner, the master table is built
+    from the written Silver tables, written to Gold and read back."""
     from strata.operators.master import build_master
+    from strata.plans import entities
     from strata.plans import fixtures as fx
 
     paths = LakePaths(scratch_path(spark, "lake"))
-    specs = {name: _entity_spec(name) for name in fx.ENTITIES}
-
-    def read_source(src: str) -> DataFrame:
-        if src == "perimetre_raw":
-            return fx.perimetre_raw(spark, sf_dir)
-        return fx.entity(spark, sf_dir, src)
-
-    status = run_clean(spark, specs, read_source, paths, as_of=fx.AS_OF)
+    specs = entities.SPECS
+    reader = entities.land(spark, sf_dir, paths, list(specs), defects=False)
+    status = run_clean(spark, specs, reader, paths, as_of=fx.AS_OF)
     failed = status.filter(F.col("status") == "failed").collect()  # 17 status rows at most
     if failed:
         raise RuntimeError(f"silver tables failed: {[(r.table, r.error) for r in failed]}")

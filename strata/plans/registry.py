@@ -124,6 +124,14 @@ register("last_balance", o.with_ctes("""SELECT RADICAL, SOLDEVERIF AS last_balan
     ["soldes"]))(gold.last_balance)
 
 
+# ------------------------------------------------------------------ Silver entities
+from strata.plans import entities as _en  # noqa: E402
+from strata.plans.oracle_entities import ORACLE as _EN_SQL  # noqa: E402
+
+for _name, _fn in _en.QUERIES.items():
+    register(_name, _EN_SQL[_name])(_fn)
+
+
 # ------------------------------------------------------------------ streaming ingestion
 from strata.plans import ingest as _in  # noqa: E402
 

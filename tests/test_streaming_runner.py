@@ -34,3 +34,37 @@ def test_run_clean_skip_force_unknown(spark, tmp_path):
         ("nope", "unknown"), ("t", "skipped")]
     broken = run_clean(spark, specs, lambda name: src.drop("A").selectExpr("CONTRAT", "nope"), paths, force=True)
     assert broken.first().status == "failed"
+
+
+def test_run_clean_absent_sources(spark, tmp_path):
+    src = spark.createDataFrame([("1", "5")], "RADICAL string, A string")
+    casts = {"RADICAL": "long", "A": "double"}
+    specs = {"open": CleanSpec(sources=("s", "gone"), allow_missing=True, casts=casts),
+             "none": CleanSpec(sources=("gone",), allow_missing=True, casts=casts),
+             "strict": CleanSpec(sources=("s", "gone"), casts=casts),
+             "corrupt": CleanSpec(sources=("s", "bad"), allow_missing=True, casts=casts)}
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("no parquet")
+
+    def read(name):
+        return src if name == "s" else spark.read.parquet(str(tmp_path / name))
+
+    rows = {r.table: r for r in run_clean(spark, specs, read, LakePaths(str(tmp_path / "lake"))).collect()}
+    assert {n: r.status for n, r in rows.items()} == {
+        "open": "written", "none": "failed", "strict": "failed", "corrupt": "failed"}
+    assert rows["open"].error.startswith("gone: ")
+
+
+def test_every_entity_has_a_spec_and_its_known_rules():
+    from strata.plans import entities, fixtures
+
+    specs = entities.SPECS
+    assert set(specs) == set(fixtures.ENTITIES)
+    assert len(specs["comptes"].sources) >= 2 and {"RADICAL", "CCLE"} <= set(specs["comptes"].not_null)
+    assert specs["perimetre"].date_floor == "1900-01-01" and specs["perimetre"].normalize_gender
+    assert specs["gab"].allow_missing and specs["tpe"].allow_missing
+    assert specs["soldes"].non_negative == ("SOLDEVERIF",) and specs["depot"].non_negative == ("MONTANT_DEPOT",)
+    assert specs["retrait"].dedup == ("RADICAL", "NUM_CARTE", "DATE_OP", "MONTANT")
+    assert specs["virement"].renames == specs["vignette"].renames == {"CONTRAT": "RADICAL"}
+    assert "NUMERO_CARTE" in specs["carte"].not_null
+    assert len(specs["digital"].sources) == len(specs["perimetre"].sources) == 1
