@@ -142,6 +142,13 @@ def gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("n_files")
 
 
+def gate_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gates on locations: rows and files against thresholds, an absent location included."""
+    wanted = {"orders": gates.Gate(), "customer": gates.Gate(min_files=2), "no_such_table": gates.Gate()}
+    return reduce(DataFrame.unionByName,
+                  [gates.gate_path(spark, table_path(sf_dir, t), t, g) for t, g in wanted.items()])
+
+
 def score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored base written best-first with its key, read back."""
     from strata.plans import evaluation

@@ -213,4 +213,9 @@ def downcast_features(spark, sf_dir):
     return d.select(KEY, Y, *(F.col(c).cast("float").alias(c) for c in feats))
 
 
-QUERIES.update({"top_features": top_features, "downcast_features": downcast_features})
+def model_split(spark, sf_dir):
+    """Every customer's label, class weight and part (train, thr, test) in the model data."""
+    return model_data(spark, sf_dir).select(KEY, Y, W, "split")
+
+
+QUERIES.update({"top_features": top_features, "downcast_features": downcast_features, "model_split": model_split})

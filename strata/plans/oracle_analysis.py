@@ -96,6 +96,25 @@ STRING_INDEX = _indexed("m.RADICAL")
 _keep = [c for c in MASTER_COLUMNS if c not in CAT_COLS + DROP_COLS + ["nb_insurance_products"]]
 ENCODE_FEATURES = _indexed(", ".join(["m.RADICAL"] + [f"m.{c}" for c in _keep]))
 
+
+
+def _model_value(c: str) -> str:
+    """A feature as the models get it: capped where it is an amount, as a 32-bit float."""
+    if c in CAP_COLS:
+        c = f"CASE WHEN k.cap_{c} > 0 THEN least(m.{c}, k.cap_{c}) ELSE m.{c} END AS FLOAT) AS {c}"
+    elif c == "NOMBRE_ENFANT":
+        c = "least(m.NOMBRE_ENFANT, 10) AS FLOAT) AS NOMBRE_ENFANT"
+    else:
+        c = f"m.{c} AS FLOAT) AS {c}"
+    return "CAST(" + c
+
+
+_features = ", ".join(_model_value(c) for c in _keep if c not in LABELS + ["BANQUE", "AGENCE"])
+_codes = ", ".join(f"CAST(COALESCE(idx_{c}.i, (SELECT k FROM n_{c})) AS FLOAT) AS {c}_idx" for c in CAT_COLS)
+DOWNCAST_FEATURES = over_master(f""", {_index_ctes()}, caps AS (SELECT {_caps} FROM master)
+    SELECT m.RADICAL, {LABEL_ANY} AS label_any, {_features}, {_codes}
+    FROM master m CROSS JOIN caps k {" ".join(f"LEFT JOIN idx_{c} ON m.{c} = idx_{c}.v" for c in CAT_COLS)}""")
+
 _HASH = "md5(CAST(RADICAL AS VARCHAR) || ':42')"
 _CLASS_POS = f"""SELECT RADICAL, label_any,
        ROW_NUMBER() OVER (PARTITION BY label_any ORDER BY {_HASH}, RADICAL) - 1 AS pos_in_class,
@@ -106,6 +125,17 @@ STRATIFIED_SPLIT = over_master(f"""SELECT RADICAL, label_any,
     CASE WHEN pos_in_class < floor(n_class * CAST(0.2 AS DOUBLE)) THEN 'test' ELSE 'train' END AS split
     FROM ({_CLASS_POS})""")
 
+# a fifth for validation, by the first hash; half of that for the test, by the second
+MODEL_SPLIT = over_master(f""", first AS (SELECT RADICAL, label_any, pos_in_class < floor(n_class * CAST(0.2 AS DOUBLE)) AS held
+        FROM ({_CLASS_POS})),
+    second AS (SELECT RADICAL, ROW_NUMBER() OVER (PARTITION BY label_any
+                   ORDER BY md5(CAST(RADICAL AS VARCHAR) || ':43'), RADICAL) - 1 AS pos,
+               COUNT(*) OVER (PARTITION BY label_any) AS n FROM first WHERE held),
+    totals AS (SELECT COUNT(*) AS n, SUM(label_any) AS p FROM first)
+    SELECT f.RADICAL, f.label_any, CASE WHEN f.label_any = 1 THEN (t.n - t.p) / t.p ELSE 1.0 END AS weight,
+           CASE WHEN NOT f.held THEN 'train' WHEN s.pos < floor(s.n * CAST(0.5 AS DOUBLE)) THEN 'test' ELSE 'thr' END AS split
+    FROM first f CROSS JOIN totals t LEFT JOIN second s ON f.RADICAL = s.RADICAL""")
+
 SPLIT_RATES = over_master(f"""SELECT split, COUNT(*) AS n, ROUND(AVG(label_any), 4) AS pos_rate FROM (
     SELECT label_any, CASE WHEN pos_in_class < floor(n_class * CAST(0.2 AS DOUBLE)) THEN 'test' ELSE 'train' END AS split
     FROM ({_CLASS_POS})) GROUP BY split""")
@@ -121,6 +151,8 @@ CLASS_WEIGHT = over_master(f"""SELECT RADICAL, label_any,
     FROM (SELECT RADICAL, {LABEL_ANY} AS label_any FROM master),
          (SELECT COUNT(*) AS n, SUM({LABEL_ANY}) AS p FROM master)""")
 
+ORACLE_MODEL = {"downcast_features": DOWNCAST_FEATURES, "model_split": MODEL_SPLIT}
+
 ORACLE = {
     "label_distribution": LABEL_DISTRIBUTION,
     "label_any": LABEL_ANY_Q,

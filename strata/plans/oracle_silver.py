@@ -88,3 +88,9 @@ ORACLE_LAKE = {
         for t, keys in {"customer": ["c_custkey"], "orders": ["o_orderkey"],
                         "lineitem": ["l_orderkey", "l_linenumber"], "part": ["p_partkey"]}.items()),
 }
+
+# one file a table, so a threshold of two files fails; an absent table is a failed row
+GATE_PATHS = """
+    SELECT 'orders' AS "table", COUNT(*) AS n_rows, CAST(1 AS BIGINT) AS n_files, COUNT(*) >= 1 AS passed FROM orders
+    UNION ALL SELECT 'customer', COUNT(*), CAST(1 AS BIGINT), FALSE FROM customer
+    UNION ALL SELECT 'no_such_table', CAST(0 AS BIGINT), CAST(0 AS BIGINT), FALSE"""

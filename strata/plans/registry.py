@@ -101,10 +101,12 @@ for _name in _AN_SQL:
 from strata.plans import lake as _lk  # noqa: E402
 from strata.plans.oracle import over_master as _over_master  # noqa: E402
 from strata.plans.oracle_eval import ORACLE as _EV  # noqa: E402
+from strata.plans.oracle_silver import GATE_PATHS as _GATE_PATHS  # noqa: E402
 from strata.plans.oracle_silver import ORACLE_LAKE as _LK_SQL  # noqa: E402
 
 for _name in _LK_SQL:
     register(_name, _LK_SQL[_name])(getattr(_lk, _name))
+register("gate_paths", _GATE_PATHS)(_lk.gate_paths)
 register("write_master", _over_master("SELECT * FROM master"))(_lk.write_master)
 register("score_sink", _EV["score_table"])(_lk.score_sink)
 register("preprocessed_sink", _AN_SQL["encode_features"])(_lk.preprocessed_sink)
@@ -141,9 +143,10 @@ for _name, _fn in _in.QUERIES.items():
 
 # ------------------------------------------------------------------ models (Spark ML; rows-only checks)
 from strata.plans import modeling as _md  # noqa: E402
+from strata.plans.oracle_analysis import ORACLE_MODEL as _MD_SQL  # noqa: E402
 
 for _name, _fn in _md.QUERIES.items():
-    register(_name)(_fn)
+    register(_name, _MD_SQL.get(_name))(_fn)
 
 
 def queries() -> dict[str, Query]:

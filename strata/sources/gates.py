@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.scan import list_files
+from strata.sources.sinks import table_exists
+
 
 @dataclass(frozen=True)
 class Gate:
@@ -49,6 +52,17 @@ def gate_stats(df: DataFrame, name: str, keys: Sequence[str], gate: Gate = Gate(
     )
 
 
+def gate_path(spark: SparkSession, path: str, name: str, gate: Gate = Gate()) -> DataFrame:
+    """One status row ``table, n_rows, n_files, passed`` for Parquet files at ``path``: files from the
+    listing, rows from the footers. A path that does not exist is a failed gate with no files."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([(name, 0, 0, False)], "table string, n_rows long, n_files long, passed boolean")
+    files = list_files(spark, path).count()
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.select(F.lit(name).alias("table"), "n_rows", F.lit(files).cast("long").alias("n_files"),
+                       ((F.col("n_rows") >= gate.min_rows) & F.lit(files >= gate.min_files)).alias("passed"))
+
+
 def check(status: DataFrame) -> DataFrame:
     """Raise ``GateFailed`` when any gate row failed; return the status otherwise."""
     failed = [r["table"] for r in status.filter(~F.col("passed")).select("table").collect()]

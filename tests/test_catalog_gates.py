@@ -35,6 +35,18 @@ def test_gate_thresholds(spark):
         gates.check(gates.gate_stats(df, "t", ["k"]))
 
 
+def test_gate_on_a_path(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(6).repartition(3).write.parquet(path)
+    assert tuple(gates.gate_path(spark, path, "t").first()) == ("t", 6, 3, True)
+    assert not gates.gate_path(spark, path, "t", gates.Gate(min_files=4)).first().passed
+    assert not gates.gate_path(spark, path, "t", gates.Gate(min_rows=7)).first().passed
+    gone = gates.gate_path(spark, str(tmp_path / "gone"), "gone")
+    assert tuple(gone.first()) == ("gone", 0, 0, False)
+    with pytest.raises(gates.GateFailed):
+        gates.check(gone)
+
+
 def test_register_and_read_back(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "id long, s string")
     path = str(tmp_path / "t")
