@@ -15,8 +15,9 @@ from strata.session import scratch_path, store, table_path
 __all__ = ["scratch_path", "store", "read_table", "internal", "filesystem", "shared_delete",
            "small_side", "pack_sorted", "unpack_sorted", "compress", "decompress", "arrow_rows"]
 
-#: Rows up to which a side may be broadcast (callers count the side first; beyond it they shuffle).
+#: Rows and bytes up to which a side may be broadcast (both are measured first; beyond either it shuffles).
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +36,12 @@ def internal(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` with a broadcast hint if it holds at most ``rows`` rows (it is counted; pass a stored
-    frame), else ``df`` itself, which then joins by shuffle."""
-    small = df.limit(rows + 1).count() <= rows
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``df`` with a broadcast hint if it holds at most ``rows`` rows of at most ``size`` bytes in all (both
+    are measured; pass a stored frame), else ``df`` itself, which then joins by shuffle."""
+    width = F.octet_length(F.to_json(F.struct("*"))).cast("long").alias("width")
+    n, total = df.select(width).limit(rows + 1).agg(F.count(F.lit(1)), F.sum("width")).first()
+    small = n <= rows and (total or 0) <= size
     return (F.broadcast(df) if small else df), small
 
 

@@ -9,12 +9,14 @@ share, verifies the distance and deduplicates the links. With a 16-bit prefix an
 rows a fingerprint instead of 2081, for the same variants.
 
 All fingerprints in a variant are within the radius of each other, so linking each to the smallest one
-keeps every connection without pairs within the group.
+keeps every connection without pairs within the group. A prefix that very many fingerprints share (near
+copies by the million) is expanded in slices of its variants, so a task holds its rows, not their variants.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -26,6 +28,7 @@ from strata.llm import common, spans
 from strata.llm.components import components
 
 _RUN = 1 << 16  # shingles hashed at a time
+_DEEPER = 8  # bits by which an overfull prefix is sliced
 
 
 def fingerprint(raw: bytes, shingle: int = 4) -> int:
@@ -72,9 +75,16 @@ def _masks(lo: int, hi: int, flips: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for c in combinations(range(lo, hi), flips)], dtype=np.uint64)
 
 
-def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None) -> DataFrame:
+@lru_cache(maxsize=None)
+def _low_masks(bits: int, flips: int) -> np.ndarray:
+    """All masks with up to ``flips`` bits set among the lowest ``bits``."""
+    return np.concatenate([_masks(0, bits, t) for t in range(flips + 1)])
+
+
+def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None, budget: int = 1 << 20) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints (column ``fp``): every two within ``radius`` bits are
-    connected by links, and every link joins two within it. ``radius`` is even."""
+    connected by links, and every link joins two within it. ``radius`` is even; ``budget`` is the number of
+    variants a task expands at a time."""
     if radius % 2:
         raise ValueError("the radius must be even")
     half = radius // 2
@@ -84,7 +94,6 @@ def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None) -> DataFr
     masks = [(_masks(64 - prefix, 64, t), t) for t in range(half + 1)]
     top = np.concatenate([m for m, _ in masks])
     left = np.concatenate([np.full(len(m), half - t, dtype=np.int8) for m, t in masks])
-    low = [np.concatenate([_masks(0, 64 - prefix, t) for t in range(f + 1)]) for f in range(half + 1)]
     shift = np.uint64(64 - prefix)
     sent = pa.schema([("at", pa.int64()), ("fp", pa.int64()), ("flips", pa.int8())])
 
@@ -99,17 +108,17 @@ def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None) -> DataFr
                      pa.array(np.tile(left, len(x)))], schema=sent)
 
     links = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    keep = np.uint64((1 << (64 - prefix)) - 1)
-    cost = np.array([len(x) for x in low])
 
-    def meet(at: np.ndarray, fp: np.ndarray, flips: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Links among the rows of some whole prefixes: expand, sort the variants, link each run of equals."""
-        head = at.view(np.uint64) << shift
+    def meet(at: np.ndarray, fp: np.ndarray, flips: np.ndarray, depth: int) -> Iterator[pa.RecordBatch]:
+        """Links among the rows of some whole prefixes of ``depth`` bits: expand, sort the variants, link
+        each run of equals."""
+        keep = np.uint64((1 << (64 - depth)) - 1)
+        head = at << np.uint64(64 - depth)
         variants, rows = [], []
         for f in range(half + 1):
-            own = np.flatnonzero(flips == f)
-            variants.append(((head[own] | (fp[own] & keep))[:, None] ^ low[f][None, :]).ravel())
-            rows.append(np.repeat(own, len(low[f])))
+            own, low = np.flatnonzero(flips == f), _low_masks(64 - depth, f)
+            variants.append(((head[own] | (fp[own] & keep))[:, None] ^ low[None, :]).ravel())
+            rows.append(np.repeat(own, len(low)))
         variant, row = spans.mix(np.concatenate(variants)), np.concatenate(rows)  # mix is one to one
         order = spans.order_of(variant)
         variant = variant[order]
@@ -129,23 +138,40 @@ def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None) -> DataFr
         if len(pairs):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], schema=links)
 
-    def whole(at, fp, flips, budget: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-        """``meet`` over runs of whole prefixes (rows are sorted by prefix) of about ``budget`` variants."""
+    def whole(at, fp, flips, depth: int = prefix) -> Iterator[pa.RecordBatch]:
+        """``meet`` over runs of whole prefixes (rows are sorted by prefix) of about ``budget`` variants;
+        a prefix beyond it is sliced by the next bits of its variants."""
+        cost = np.array([len(_low_masks(64 - depth, f)) for f in range(half + 1)])
         begins = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)]])
         total = np.concatenate([[0], np.cumsum(cost[flips])])[begins]
         i = 0
         while i < len(begins) - 1:
             j = max(i + 1, int(np.searchsorted(total, total[i] + budget, side="right")) - 1)
             a, b = begins[i], begins[j]
-            yield from meet(at[a:b], fp[a:b], flips[a:b])
+            if total[j] - total[i] > budget and depth < 64:
+                yield from sliced(at[a], fp[a:b], flips[a:b], depth)
+            else:
+                yield from meet(at[a:b], fp[a:b], flips[a:b], depth)
             i = j
 
+    def sliced(at, fp, flips, depth: int) -> Iterator[pa.RecordBatch]:
+        """``whole`` over the rows of one prefix, one value of the next bits at a time."""
+        step = min(_DEEPER, 64 - depth)
+        bits = (fp >> np.uint64(64 - depth - step)) & np.uint64((1 << step) - 1)
+        for value in range(1 << step):
+            need = np.bitwise_count(bits ^ np.uint64(value)).astype(np.int8)
+            own = np.flatnonzero(need <= flips)
+            if len(own) > 1:
+                deeper = np.full(len(own), (int(at) << step) | value, dtype=np.uint64)
+                yield from whole(deeper, fp[own], flips[own] - need[own], depth + step)
+
     def collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            now = [np.asarray(batch.column(0)), np.asarray(batch.column(1)).view(np.uint64), np.asarray(batch.column(2))]
+            now = [np.asarray(batch.column(0)).view(np.uint64), np.asarray(batch.column(1)).view(np.uint64),
+                   np.asarray(batch.column(2))]
             if held is not None:
                 now = [np.concatenate([h, x]) for h, x in zip(held, now, strict=True)]
             last = int(np.searchsorted(now[0], now[0][-1]))  # this prefix may go on in the next batch

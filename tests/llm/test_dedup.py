@@ -165,8 +165,10 @@ def test_near_duplicates(docs, rows):
     assert kept == set(brute_components(fps, 4).values())
 
 
-@pytest.mark.parametrize(("radius", "prefix"), [(4, None), (4, 8), (4, 20), (2, 10), (0, 8)])
-def test_links_lose_nothing(spark, radius, prefix):
+@pytest.mark.parametrize(("radius", "prefix", "budget"), [
+    (4, None, 1 << 20), (4, 8, 1 << 20), (4, 20, 1 << 20), (2, 10, 1 << 20), (0, 8, 1 << 20),
+    (4, 8, 20_000), (4, 16, 50), (2, 10, 1), (0, 8, 1)])  # a small budget: prefixes are sliced, down to the last bit
+def test_links_lose_nothing(spark, radius, prefix, budget):
     rnd = random.Random(radius)
     fps = [rnd.getrandbits(64) for _ in range(60)]
     for base in list(fps):  # chains at every distance up to the radius and just beyond
@@ -177,7 +179,7 @@ def test_links_lose_nothing(spark, radius, prefix):
             fps.append(x)
     fps = sorted(set(fps))
     signed = [(x - (1 << 64) if x >> 63 else x,) for x in fps]
-    links = simhash.linked(spark.createDataFrame(signed, "fp long"), radius, prefix).collect()
+    links = simhash.linked(spark.createDataFrame(signed, "fp long"), radius, prefix, budget).collect()
     assert all(0 < ((r["a"] ^ r["b"]) & (2**64 - 1)).bit_count() <= radius for r in links)
     found = {x: x for x in fps}
 
@@ -192,6 +194,19 @@ def test_links_lose_nothing(spark, radius, prefix):
     assert {x: find(x) for x in fps} == brute_components({x: x for x in fps}, radius)
 
 
+def test_a_crowded_prefix_is_expanded_in_slices(spark):
+    # 1500 near copies of one text: all of one prefix, and all linked
+    base = random.Random(5).getrandbits(64) | 1 << 63
+    fps = [base] + [base ^ (1 << i) ^ (1 << j) for i in range(56) for j in range(i)][:1499]
+    table = spark.createDataFrame([(x - (1 << 64),) for x in fps if x >> 63], "fp long").distinct()
+    whole = simhash.linked(table, 4, 8).collect()
+    parts = simhash.linked(table, 4, 8, 1 << 14).collect()
+    for links in (whole, parts):
+        roots = {r["node"]: r["root"] for r in components(
+            spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+        assert len(roots) == table.count() and len(set(roots.values())) == 1
+
+
 def test_simhash_odd_rows(odd, empty):
     out = simhash.near_duplicates(odd).collect()
     assert len(out) == odd.count()

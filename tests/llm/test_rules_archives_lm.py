@@ -279,3 +279,13 @@ def test_score_odd_rows(odd, empty):
     assert nothing[0]["train_tokens"] == 0
     assert all(r["bits_per_byte"] == pytest.approx(8) for r in nothing)
     assert ctw.score(empty, F.lit(True)).count() == 0
+
+
+# ------------------------------------------------------------- helpers
+
+def test_broadcasts_are_bounded_by_rows_and_bytes(spark):
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(20)], "k long, t string")
+    assert common.small_side(df)[1]
+    assert not common.small_side(df, rows=19)[1]
+    assert not common.small_side(df, size=2000)[1]  # few rows, but long ones
+    assert common.small_side(df.limit(0))[1]
