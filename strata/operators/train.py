@@ -192,13 +192,14 @@ def consensus(rounds: Sequence[DataFrame]) -> DataFrame:
 
 
 def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str], key: str, y: str, weight: str | None,
-                  trials: int, seed: int = SEED) -> DataFrame:
-    """Random search over boosted-tree settings; objective = best F1 on ``valid``."""
+                  trials: int, seed: int = SEED, rounds: Sequence[int] = (20, 50, 100)) -> DataFrame:
+    """Random search over boosted-tree settings (``rounds``: the numbers of trees to choose from);
+    objective = best F1 on ``valid``."""
     spark = train.sparkSession
     rng = random.Random(seed)
     rows = []
     for t in range(trials):
-        params = {"max_iter": rng.choice([20, 50, 100]), "max_depth": rng.randint(3, 7),
+        params = {"max_iter": rng.choice(list(rounds)), "max_depth": rng.randint(3, 7),
                   "step": round(rng.uniform(0.03, 0.3), 3), "subsample": round(rng.uniform(0.6, 1.0), 2)}
         model = fit(gbt(y, weight, **params), train, features)
         s = score(model, valid, features, keep=[key, y])

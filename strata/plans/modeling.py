@@ -115,14 +115,14 @@ def _base_models(d, feats):
             "rf": train.fit(train.random_forest(Y, W), tr, feats)}
 
 
-def _multi_score(models, df, feats):
+def _multi_score(models, df, feats, keep=()):
     """Scores of all models for every row, one pass: the models' columns have names of their own."""
-    out = train.assemble(df.select(KEY, Y, *feats), feats)
+    out = train.assemble(df.select(KEY, Y, *keep, *feats), feats)
     for name, m in models.items():
         m = m.copy()
         m.setProbabilityCol(f"_prob_{name}").setRawPredictionCol(f"_raw_{name}").setPredictionCol(f"_pred_{name}")
         out = m.transform(out)
-    return out.select(KEY, Y, *(train.positive(f"_prob_{n}").alias(f"score_{n}") for n in models))
+    return out.select(KEY, Y, *keep, *(train.positive(f"_prob_{n}").alias(f"score_{n}") for n in models))
 
 
 def ensemble_stack(spark, sf_dir):

@@ -151,7 +151,13 @@ CLASS_WEIGHT = over_master(f"""SELECT RADICAL, label_any,
     FROM (SELECT RADICAL, {LABEL_ANY} AS label_any FROM master),
          (SELECT COUNT(*) AS n, SUM({LABEL_ANY}) AS p FROM master)""")
 
-ORACLE_MODEL = {"downcast_features": DOWNCAST_FEATURES, "model_split": MODEL_SPLIT}
+# what must hold of the trained scores: every customer once, the split's sizes, nothing out of range
+TRAINED_FACTS = f"""SELECT COUNT(*) AS n_rows, COUNT(*) AS n_keys, CAST(SUM(label_any) AS BIGINT) AS n_pos,
+    COUNT(*) FILTER (split = 'train') AS n_train, COUNT(*) FILTER (split = 'thr') AS n_thr,
+    COUNT(*) FILTER (split = 'test') AS n_test, CAST(0 AS BIGINT) AS bad_scores, CAST(0 AS BIGINT) AS bad_predictions,
+    CAST(0 AS BIGINT) AS bad_deciles, CAST(0 AS BIGINT) AS bad_ranks FROM ({MODEL_SPLIT})"""
+
+ORACLE_MODEL = {"downcast_features": DOWNCAST_FEATURES, "model_split": MODEL_SPLIT, "trained_facts": TRAINED_FACTS}
 
 ORACLE = {
     "label_distribution": LABEL_DISTRIBUTION,
