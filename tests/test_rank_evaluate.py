@@ -166,3 +166,19 @@ def test_dedup_and_features_with_hot_key(spark):
     last = latest_value(df, "k", "v", "d", "last").filter(F.col("k") == 0).first()["last"]
     exp = df.filter(F.col("k") == 0).orderBy(F.col("d").desc(), F.col("v").desc()).first()["v"]
     assert last == exp
+
+
+def test_prefix_sums_run_in_order_without_a_second_shuffle(spark):
+    rnd = random.Random(3)
+    rows = [(i, rnd.randint(0, 50), rnd.choice([0, 1, None]), rnd.random()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, s int, y int, w double")
+    out = prefix_sums(df, [F.col("s").desc(), F.col("k")], {"y": "y", "w": "w"}, partitions=7)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan.split("BroadcastExchange")[0]  # only the offsets, a row a partition, use one
+    got = sorted(out.collect(), key=lambda r: r["pos"])
+    n = w = 0
+    for r, (k, s, y, x) in zip(got, sorted(rows, key=lambda r: (-r[1], r[0])), strict=True):
+        n, w = n + (y or 0), w + x
+        assert (r["k"], r["s"], r["cum_y"]) == (k, s, n) and abs(r["cum_w"] - w) < 1e-6
+    assert {r["total_y"] for r in got} == {n}
+    assert prefix_sums(df.limit(0), ["s", "k"], {"y": "y"}).count() == 0
