@@ -15,18 +15,23 @@ number, and a key that is everywhere is one entry a part.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.llm import common, spans
 
-#: Rows of one file of the copy; bytes of text after which a part ends.
+#: Rows and bytes of text of one file of the copy; bytes of text after which a part ends.
 FILE_ROWS = 4096
+FILE_BYTES = 64 << 20
 PART_BYTES = 8 << 20
 _SUB = 10  # low bits of a part's number: parts of one file
 
@@ -38,22 +43,58 @@ class Corpus(NamedTuple):
     n_bytes: int
 
 
-def copy(docs: DataFrame, columns: dict[str, Column], file_rows: int = FILE_ROWS) -> Corpus:
-    """Copy ``columns`` (``doc`` and ``text`` among them) into files of at most ``file_rows`` rows, each with
-    one row group, so that a file is always read by one task and in one order."""
+def copy(docs: DataFrame, columns: dict[str, Column], file_rows: int = FILE_ROWS, file_bytes: int = FILE_BYTES) -> Corpus:
+    """Copy ``columns`` (``doc`` and ``text`` among them) into files of at most ``file_rows`` rows and
+    ``file_bytes`` bytes of text (or one row). A task writes each of its files itself as one row group,
+    which no setting of Spark's writer or reader divides: a file is always read by one task and in one order.
+    Only files of committed attempts are read."""
     spark = docs.sparkSession
-    seq = F.monotonically_increasing_id()
-    per = -(-(1 << 33) // file_rows)
     d = docs.select(*[c.alias(n) for n, c in columns.items()])
-    # 2^33 rows a task: its number, then the number of its file
-    d = d.withColumn("file", F.shiftright(seq, 33) * per + F.floor(seq.bitwiseAND((1 << 33) - 1) / file_rows))
-    d = d.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     path = common.scratch_path(spark, "corpus")
-    (d.write.option("maxRecordsPerFile", file_rows).option("compression", "zstd")
-     .option("parquet.block.size", str(1 << 30)).parquet(path))
-    stored = spark.read.schema(d.schema).parquet(path)
-    n_bytes = stored.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    return Corpus(stored.drop("n_bytes"), int(n_bytes))
+    fs, base = common.filesystem(path)
+    fs.create_dir(base)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        files, dir_ = common.filesystem(path)
+        task = TaskContext.get().partitionId()
+        for k, (table, size) in enumerate(_files_of(batches, file_rows, file_bytes)):
+            number, name = (task << 32) + k, f"part-{task:06d}-{k:06d}-{uuid.uuid4().hex[:12]}.parquet"
+            table = table.append_column("file", pa.array(np.full(table.num_rows, number)))
+            written: list = []
+            with files.open_output_stream(f"{dir_}/{name}") as out:
+                pq.write_table(table, out, row_group_size=table.num_rows, compression="zstd", compression_level=3,
+                               use_dictionary=[c for c in table.column_names if c != "text"], metadata_collector=written)
+            if written[0].num_row_groups != 1:
+                raise ValueError("a file of the copy has more than one row group")
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64())], names=["name", "n_bytes"])
+
+    manifest = d.mapInArrow(write, "name string, n_bytes long").collect()  # a row a file
+    schema = StructType([*d.schema.fields, StructField("file", LongType())])
+    names = sorted(r["name"] for r in manifest)
+    stored = spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in names]) if names else spark.createDataFrame([], schema)
+    return Corpus(stored, sum(r["n_bytes"] for r in manifest))
+
+
+def _files_of(batches: Iterator[pa.RecordBatch], rows: int, size: int) -> Iterator[tuple[pa.Table, int]]:
+    """(rows of one file, bytes of their texts): at most ``rows`` rows and ``size`` bytes, or one row."""
+    held: list[pa.RecordBatch] = []
+    n, total = 0, 0
+    for b in batches:
+        lens = pc.fill_null(pc.binary_length(b.column(b.schema.get_field_index("text"))), 0).to_pylist()
+        begin = 0
+        for i, k in enumerate(lens):
+            if n and (n == rows or total + k > size):
+                if i > begin:
+                    held.append(b.slice(begin, i - begin))
+                yield pa.Table.from_batches(held), total
+                held, begin, n, total = [], i, 0, 0
+            n, total = n + 1, total + k
+        if b.num_rows > begin:
+            held.append(b.slice(begin))
+    if n:
+        yield pa.Table.from_batches(held), total
 
 
 def parts_of(batches: Iterator[pa.RecordBatch], part_bytes: int = PART_BYTES) -> Iterator[tuple[int, pa.Table]]:
@@ -144,7 +185,6 @@ class Answers:
 
     def of(self, part: int) -> dict[int, dict[int, bytes]]:
         """{kind: {bucket: reply}} for one part."""
-        import pyarrow.parquet as pq
         from pyarrow import fs
 
         files, base = common.filesystem(self.path)

@@ -118,6 +118,34 @@ def test_parts_end_by_rows_alone(docs):
     assert a == b and sum(map(len, a.values())) == docs.count() and len(a) > 20
 
 
+def test_parts_do_not_depend_on_row_groups_or_splits(spark, monkeypatch):
+    """Spark's writer would cut the copy into many row groups here, and its reader deal them to many tasks."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    option = DataFrameWriter.option
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, key, value: option(
+        self, key, "1024" if key == "parquet.block.size" else value))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rnd = random.Random(4)
+    passage = " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 9) for _ in range(8))
+    rows = [(i, f"{rnd.random()} {rnd.random()} " * 20 + (passage if i % 50 == 7 else "")) for i in range(2000)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = as_dict(substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), window=6))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {i: (r["n_words"], r["n_removed"], r["text"]) for i, r in got.items()} == brute_substrings(rows, 6)
+
+
+def test_files_of_the_copy_are_bounded_by_bytes(docs, rows):
+    corpus = parts.copy(docs, {"doc": docs["doc_id"], "text": docs["text"]}, file_bytes=20_000)
+    held = defaultdict(list)
+    for r in corpus.rows.collect():
+        held[r["file"]].append(len((r["text"] or "").encode()))
+    assert all(len(x) == 1 or sum(x) <= 20_000 for x in held.values())
+    assert corpus.n_bytes == sum(len((r[1] or "").encode()) for r in rows) == sum(map(sum, held.values()))
+
+
 # ------------------------------------------------------------- SimHash
 
 def brute_fingerprint(text, k=4):
