@@ -10,7 +10,9 @@ Texts are scored with A-Z lower-cased, as UTF-8 bytes followed by one end symbol
 not use); contexts before a text's start are end symbols. The model is never held in one place: the
 distinct (depth+1)-byte grams of every part go to buckets by their last two context bytes, so a bucket holds
 whole subtrees from depth 2 down; depths 0 and 1 have at most 257 x 255 nodes and are merged from the
-buckets' sums. A bucket answers each part with the log probability of its grams.
+buckets' sums. Counts of a bucket are summed over groups of parts first, in a tree, and the trees are built from
+its merged distinct grams; their log probabilities are stored and groups of parts are answered from them, so
+neither a frequent byte pair nor the number of parts makes a group grow beyond its distinct grams.
 
 The unigram baseline (add-one over words, as a point of comparison) travels the same way.
 """
@@ -30,6 +32,9 @@ from strata.llm import common, parts, spans
 U64 = np.uint64
 GRAM, WORD = 0, 1
 PART_BYTES = 8 << 20
+#: Parts whose blobs of a bucket one group merges or answers; merged blobs that one group merges further.
+PARTS, MERGED = 256, 16
+MODEL = -1  # in place of a part: the merged keys of a bucket with what is answered
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _HALF = math.log(0.5)
@@ -84,12 +89,10 @@ class _Level:
 
 
 class Subtrees:
-    """Trees of a set of grams that is closed under: same last two context bytes."""
+    """Trees of a set of grams (distinct, ascending) that is closed under: same last two context bytes."""
 
-    def __init__(self, keys: list[np.ndarray], counts: list[np.ndarray], depth: int):
-        every, inverse, _ = spans.group(np.concatenate(keys))
-        total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(every)).astype(np.int64)
-        self.depth, self.inverse = depth, inverse
+    def __init__(self, every: np.ndarray, total: np.ndarray, depth: int):
+        self.depth = depth
         self.levels = {depth: _Level(every, total)}
         self.place = {depth: np.arange(len(every))}
         for d in range(depth - 1, 1, -1):
@@ -214,8 +217,49 @@ class _Keys:
         return np.concatenate([np.zeros(0, dtype), *found])[self.place]
 
 
-def _counts(extras: list[bytes]) -> list[np.ndarray]:
-    return [np.frombuffer(common.decompress(x), dtype="<u4").astype(np.int64) for x in extras]
+def merged(blobs: list[bytes], extras: list[bytes], dtype: str, pending: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in ascending order, their summed counts) of some blobs, which are opened one at a time:
+    held are the distinct keys and about as many more, or ``pending``."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = own = 0
+
+    def fold() -> None:
+        keys, inverse, _ = spans.group(np.concatenate([k for k, _ in held]))
+        total = np.bincount(inverse, weights=np.concatenate([c for _, c in held]), minlength=len(keys))
+        held[:] = [(keys, total.astype(np.int64))]
+
+    for k, c in zip(blobs, extras, strict=True):
+        held.append((common.unpack_sorted(k), np.frombuffer(common.decompress(c), dtype=dtype).astype(np.int64)))
+        n += len(held[-1][0])
+        if n > max(pending, 2 * own):
+            fold()
+            n = own = len(held[0][0])
+    fold()
+    return held[0]
+
+
+def merge(asked: DataFrame, n_parts: int) -> DataFrame:
+    """One row (kind, bucket, part, keys, extra) a bucket: distinct keys with counts summed over all parts, in a
+    tree of groups (bucket, range of parts), so that a bucket's group does not grow with the corpus."""
+    fan, dtype, rows, n = PARTS, "<u4", asked, n_parts
+    while True:
+        n = -(-n // fan)
+
+        def run(key, group):
+            import pandas as pd
+
+            keys, counts = merged(group["keys"].tolist(), group["extra"].tolist(), dtype)
+            return pd.DataFrame({"kind": [int(key[0])], "bucket": [int(key[1])], "part": [int(key[2])],
+                                 "keys": [common.pack_sorted(keys)], "extra": [common.compress(counts.astype("<u8").tobytes())]})
+
+        rows = common.store(rows.groupBy("kind", "bucket", _share("part", n).alias("share")).applyInPandas(run, parts.ASK), "merged")
+        if n <= 1:
+            return rows
+        fan, dtype = MERGED, "<u8"
+
+
+def _share(part: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(part), F.lit(max(n, 1)))
 
 
 def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", depth: int = 4) -> DataFrame:
@@ -244,19 +288,20 @@ def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
 
     asked = common.store(parts.ask(corpus, ["text", "learn"], keys_of, PART_BYTES), "grams")
 
+    n_parts = asked.select("part").distinct().count()
+    whole = merge(asked, n_parts)
+
     def summed(key, group):
         import pandas as pd
 
-        keys, counts = [common.unpack_sorted(k) for k in group["keys"]], _counts(group["extra"].tolist())
+        keys, counts = merged(group["keys"].tolist(), group["extra"].tolist(), "<u8")
         if int(key[0]) == WORD:
-            own, inverse, _ = spans.group(np.concatenate(keys))
-            total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(own))
-            context, node, n0, n1, s = [-1], [-1], [total.sum()], [float((total > 0).sum())], [0.0]
+            context, node, n0, n1, s = [-1], [-1], [float(counts.sum())], [float((counts > 0).sum())], [0.0]
         else:
             context, node, n0, n1, s = Subtrees(keys, counts, depth).sums()
         return pd.DataFrame({"context": context, "node": node, "n0": n0, "n1": n1, "s": s})
 
-    sums = (asked.groupBy("kind", "bucket").applyInPandas(summed, "context int, node int, n0 double, n1 double, s double")
+    sums = (whole.groupBy("kind", "bucket").applyInPandas(summed, "context int, node int, n0 double, n1 double, s double")
             .groupBy("context", "node").agg(F.sum("n0"), F.sum("n1"), F.sum("s")))
     rows = [tuple(r) for r in sums.collect()]  # at most 256 x 255 nodes and the totals of the words
     ends = corpus.rows.where("learn").count()
@@ -264,18 +309,35 @@ def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
     tokens, types = tokens + ends, types + (ends > 0)
     top = top_levels(r for r in rows if r[0] >= 0)
 
-    def reply(kind: int, bucket: int, blobs: list[bytes], extras: list[bytes]) -> list[bytes]:
-        keys, counts = [common.unpack_sorted(k) for k in blobs], _counts(extras)
-        cut = np.cumsum([len(k) for k in keys])[:-1]
-        if kind == WORD:
-            own, inverse, _ = spans.group(np.concatenate(keys))
-            every = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(own)).astype("<u8")[inverse]
-        else:
-            trees = Subtrees(keys, counts, depth)
-            every = trees.log10_probability(top).astype("<f8")[trees.inverse]
-        return [common.compress(x.tobytes()) for x in np.split(every, cut)]
+    def model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Merged counts to what is answered: log probabilities of grams, counts of words."""
+        add, flush = common.arrow_rows(parts.ASK_SCHEMA, 16)
+        for b in batches:
+            for kind, bucket, _, keys, extra in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if kind == GRAM:
+                    own, total = merged([keys], [extra], "<u8")
+                    extra = common.compress(Subtrees(own, total, depth).log10_probability(top).astype("<f8").tobytes())
+                yield from add((kind, bucket, MODEL, keys, extra))
+        yield from flush()
+
+    # a bucket's parts are answered in groups, each with the bucket's model
+    shares = max(1, -(-n_parts // PARTS))
+    share, = common.internal(asked, "share")
+    models = common.store(whole.mapInArrow(model, parts.ASK), "model")
+    both = asked.drop("extra").withColumn("extra", F.lit(None).cast("binary")).withColumn(share, _share("part", shares)).unionByName(
+        models.withColumn(share, F.explode(F.sequence(F.lit(0), F.lit(shares - 1)).cast("array<bigint>"))))
+
+    def reply(key, group):
+        import pandas as pd
+
+        own = group["part"] == MODEL
+        m, group = group[own].iloc[0], group[~own]
+        keys = common.unpack_sorted(m["keys"])
+        values = np.frombuffer(common.decompress(m["extra"]), dtype="<u8" if int(key[0]) == WORD else "<f8")
+        out = [common.compress(values[np.searchsorted(keys, common.unpack_sorted(k))].tobytes()) for k in group["keys"]]
+        return pd.DataFrame({"kind": group["kind"], "bucket": group["bucket"], "part": group["part"], "reply": out})
 
-    answers = parts.Answers(parts.answer(asked, reply), "scores")
+    answers = parts.Answers(both.groupBy("kind", "bucket", share).applyInPandas(reply, parts.ANSWER), "scores")
     schema = pa.schema([(id_col, pa.string() if text_id else pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
                         ("score", pa.float64()), ("bits_per_byte", pa.float64())])

@@ -272,6 +272,31 @@ def test_the_model_predicts_held_out_text(spark, rows):
     assert np.mean(held) < 4 and min(odd) > np.mean(held) + 1
 
 
+def test_no_group_grows_with_the_number_of_parts(spark, rows, monkeypatch, tmp_path):
+    """Many parts of one hot byte pair: the groups hold a few of them each, and scores are the same."""
+    data = [(r[0], r[1]) for r in rows if len(r[1] or "") < 400][:40] + [(1000 + i, f"hot hot hot {i}") for i in range(60)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    learn = F.col("doc_id") % 5 != 0
+    whole = as_dict(ctw.score(df, learn))
+    monkeypatch.setattr(ctw, "PART_BYTES", 10)
+    monkeypatch.setattr(ctw, "PARTS", 8, raising=False)
+    monkeypatch.setattr(ctw, "MERGED", 3, raising=False)
+    kind, folder = type(df.groupBy("doc_id")), str(tmp_path)
+
+    def frame(self, f, schema, apply=kind.applyInPandas):
+        def seen(key, group):
+            open(f"{folder}/{len(group)}", "w").close()
+            return f(key, group)
+        return apply(self, seen, schema)
+
+    monkeypatch.setattr(kind, "applyInPandas", frame)
+    cut = as_dict(ctw.score(df, learn))
+    assert cut.keys() == whole.keys()
+    for i, r in whole.items():
+        assert cut[i] == pytest.approx(r, rel=1e-9)
+    assert 1 < max(int(p.name) for p in tmp_path.iterdir()) < 30  # all parts of the hot pair: 60 and more
+
+
 def test_score_odd_rows(odd, empty):
     out = ctw.score(odd, F.col("doc_id") == 1).collect()
     assert len(out) == odd.count() and all(r["score"] < 0 for r in out)
