@@ -52,7 +52,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.read_archives(warc.archive(common.read_table(spark, sf_dir, "pages")))
-    page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).cast("long")
+    page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
     return read.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                        F.when(F.col("refers_to").isNotNull(), page("refers_to")).alias("refers_to"))
 

@@ -15,7 +15,7 @@ import pytest
 from llm_helpers import as_dict, lower, words_of
 from pyspark.sql import functions as F
 
-from strata.llm import common, ctw, decontaminate, quality, warc
+from strata.llm import common, ctw, decontaminate, quality, queries, warc
 
 # ------------------------------------------------------------- quality
 
@@ -131,6 +131,13 @@ def test_archive_of_nothing(spark):
     assert warc.read_archives(warc.archive(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
 
 
+def test_the_archive_query_keeps_a_page_without_an_id(spark, tmp_path):
+    spark.createDataFrame(PAGES, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    out = queries.op8_warc(spark, str(tmp_path)).collect()
+    assert any(i is None for i, *_ in PAGES)
+    assert Counter(r["page_id"] for r in out) == Counter(i for i, *_ in PAGES)
+
+
 # ------------------------------------------------------------- decontamination
 
 def brute_contamination(rows, items, n):
