@@ -56,18 +56,18 @@ def fingerprint(raw: bytes, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``(doc, fp)``, stored: the fingerprint of every row as a signed 64-bit integer."""
+    """``(doc, version, fp)``, stored: the text's hash and the fingerprint of every row as a signed 64-bit integer."""
     text_id = docs.schema[id_col].dataType.typeName() == "string"
     ident = F.col(id_col) if text_id else F.col(id_col).cast("long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = spans.texts_of(b.column(1))
+            texts = spans.texts_of(b.column(2))
             fp = np.array([fingerprint(texts.bytes(i), shingle) for i in range(len(texts))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], names=["doc", "version", "fp"])
 
-    rows = docs.select(ident.alias("doc"), F.col(text_col).alias("text"))
-    return common.store(rows.mapInArrow(run, f"doc {'string' if text_id else 'long'}, fp long"), "fingerprints")
+    rows = docs.select(ident.alias("doc"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
+    return common.store(rows.mapInArrow(run, f"doc {'string' if text_id else 'long'}, version long, fp long"), "fingerprints")
 
 
 def _masks(lo: int, hi: int, flips: int) -> np.ndarray:
@@ -196,6 +196,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     are all returned; null ids are kept and name no component unless it has no other id. An empty table
     gives an empty result. Other columns are ignored.
     """
+    found = _named(docs, id_col, text_col, shingle, radius)
+    return found.select(F.col("doc").alias(id_col), "fp", "component_id")
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> DataFrame:
+    """``(doc, version, fp, component_id)`` of every row."""
     prints = fingerprints(docs, id_col, text_col, shingle)
     classes = common.store(prints.groupBy("fp").agg(F.min("doc").alias("first")), "fingerprint-classes")
     links = common.store(linked(classes, radius), "fingerprint-links")
@@ -205,15 +211,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rooted = common.store(rooted, "fingerprint-roots")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(F.col("doc").alias(id_col), "fp", "component_id")
+    return prints.join(named, "fp").select("doc", "version", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                radius: int = 4) -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest id. Rows that share that id are
-    all kept; rows without an id are kept if their component has no other id."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, radius=radius)
-    key, = common.internal(docs, "__kept")
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(key)).distinct()
+    """``docs`` with one document of each component: that with the smallest id. Of rows that share an id, those
+    whose own component has that smallest id are kept; rows without an id are kept if their component has no
+    other id. Texts of one id are told apart by a 64-bit hash."""
+    found = _named(docs, id_col, text_col, shingle, radius)
+    key, version = common.internal(docs, "__kept", "__version")
+    stay = found.where(F.col("doc").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc").alias(key), F.col("version").alias(version)).distinct()
     own = F.col(id_col) if docs.schema[id_col].dataType.typeName() == "string" else F.col(id_col).cast("long")
-    return docs.join(stay, own.eqNullSafe(F.col(key)), "left_semi")
+    return docs.join(stay, own.eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(version)), "left_semi")

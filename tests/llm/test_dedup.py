@@ -243,6 +243,14 @@ def test_simhash_odd_rows(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_keep_first_tells_texts_of_one_id_apart(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in ("ab", "cd", "ef"))
+    rows = [(1, two), (5, one), (5, two), (7, three), (None, three), (None, "alone " + one[:50]), (5, one)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, kept.collect())) == Counter(
+        [(1, two), (5, one), (5, one), (7, three), (None, "alone " + one[:50])])
+
+
 def test_components(spark):
     rnd = random.Random(5)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + rnd.randint(1, 300)) for _ in range(300)] + [(5000, 5000)]
