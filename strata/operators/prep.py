@@ -90,13 +90,14 @@ def split_rates(split: DataFrame, label: str) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = SEED) -> DataFrame:
-    """Exactly ``n`` rows (or all), the first in hash order: distributed, no single-task top-n."""
+    """Exactly ``n`` rows (or all), the first in hash order: distributed, no single-task top-n. Rows without a
+    key come first in that order."""
     # a cut-off on a hash keeps a few more than n rows; only those are ordered exactly
     total = df.count()
     if n >= total:
         return df
     top = (1 << 32) - 1
-    share = F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("long")
+    share = F.coalesce(F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("long"), F.lit(0))
     rest, cut = None, int(top * min(1.0, (n + 6 * n**0.5 + 50) / total))
     while rest is None or cut < top and rest.count() < n:  # the margin is six deviations; widen it if it fails
         cut = cut if rest is None else min(top, 2 * cut + 1)

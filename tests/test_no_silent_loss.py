@@ -112,3 +112,10 @@ def test_permutation_changes_one_feature_at_a_time(spark):
         assert all(v[1 - at] == (k if at == 1 else -k) for k, v in own.items())  # the other one is untouched
         assert sorted(v[at] for v in own.values()) == sorted((1 - 2 * at) * k for k in own)  # a permutation
         assert sum(v[at] != (1 - 2 * at) * k for k, v in own.items()) > 20
+
+
+def test_sample_of_rows_without_a_key(spark):
+    df = spark.createDataFrame([(i if i < 10 else None, i) for i in range(60)], "k long, v long").repartition(3)
+    for n in (5, 25, 55, 60):
+        got = [r["v"] for r in prep.sample_n(df, n, "k").collect()]
+        assert len(got) == len(set(got)) == n
