@@ -4,10 +4,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
 from strata.plans import model_chain as mc
 from strata.plans import modeling as md
 from strata.plans import registry
+from sf_paths import SF_SMALL
 
 
 @pytest.fixture(scope="module")
