@@ -304,7 +304,7 @@ def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
     sums = (whole.groupBy("kind", "bucket").applyInPandas(summed, "context int, node int, n0 double, n1 double, s double")
             .groupBy("context", "node").agg(F.sum("n0"), F.sum("n1"), F.sum("s")))
     rows = [tuple(r) for r in sums.collect()]  # at most 256 x 255 nodes and the totals of the words
-    ends = corpus.rows.where("learn").count()
+    ends = corpus.map(lambda batches: batches, ["learn"], "file long, learn boolean").where("learn").count()
     tokens, types = next(((int(r[2]), int(r[3])) for r in rows if r[0] < 0), (0, 0))
     tokens, types = tokens + ends, types + (ends > 0)
     top = top_levels(r for r in rows if r[0] >= 0)
@@ -362,4 +362,4 @@ def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
 
     out = (f"`{id_col}` {'string' if text_id else 'long'}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
            "base_score double, score double, bits_per_byte double")
-    return corpus.rows.select("file", "doc", "text", "learn").mapInArrow(scored, out)
+    return corpus.map(scored, ["doc", "text", "learn"], out)

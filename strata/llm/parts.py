@@ -1,7 +1,7 @@
 """Corpus parts and the exchange between them and hashed buckets.
 
 Counting or looking up very many keys (windows, n-grams) across a corpus without shuffling them row by
-row: the corpus is copied once into files of bounded size, each file is cut into *parts*, and
+row: the corpus is copied once into files of bounded size, which a stored table lists; each file is cut into *parts*, and
 
 * a part sends its sorted distinct keys, cut into buckets, each as one compact blob (``ask``);
 * a task per bucket combines the blobs of all parts and answers every part in the order of its keys
@@ -37,17 +37,48 @@ _SUB = 10  # low bits of a part's number: parts of one file
 
 
 class Corpus(NamedTuple):
-    """A stored copy: ``file`` long (its number), ``doc``, ``text``, ``extra`` columns."""
-
-    rows: DataFrame
+    """A stored copy: ``files`` is the table of its files (``file`` their number, ``name``, ``n_rows``, ``n_bytes``
+    of text), ``schema`` that of the rows: the columns that were copied, and ``file``."""
+
+    files: DataFrame
+    path: str
+    schema: StructType
+    n_files: int
+    n_rows: int
     n_bytes: int
 
+    def map(self, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], columns: list[str],
+            out: str | StructType) -> DataFrame:
+        """``run`` over the rows (``file`` and ``columns``) of whole files, file by file. A task opens the files that
+        the table names; nothing about them passes through the driver."""
+        path = self.path
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from run(_read(path, batches, ["file", *columns]))
+
+        dealt = self.files.select("file", "name").repartitionByRange(max(1, self.n_files), "file")
+        return dealt.mapInArrow(each, out)
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.map(lambda batches: batches, [f for f in self.schema.names if f != "file"],
+                        StructType([self.schema["file"], *(f for f in self.schema.fields if f.name != "file")]))
+
+
+def _read(path: str, batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
+    files, dir_ = common.filesystem(path)
+    for b in batches:
+        for name in b.column(1).to_pylist():
+            with files.open_input_file(f"{dir_}/{name}") as stream:
+                for rows in pq.ParquetFile(stream).iter_batches(1024, columns=columns):
+                    yield rows.select(columns)
+
 
 def copy(docs: DataFrame, columns: dict[str, Column], file_rows: int = FILE_ROWS, file_bytes: int = FILE_BYTES) -> Corpus:
     """Copy ``columns`` (``doc`` and ``text`` among them) into files of at most ``file_rows`` rows and
-    ``file_bytes`` bytes of text (or one row). A task writes each of its files itself as one row group,
-    which no setting of Spark's writer or reader divides: a file is always read by one task and in one order.
-    Only files of committed attempts are read."""
+    ``file_bytes`` bytes of text (or one row). A task writes each of its files itself and names them in the table
+    of files, which is stored: it lists those of committed attempts alone, and only they are read. A file is
+    always read by one task and in one order."""
     spark = docs.sparkSession
     d = docs.select(*[c.alias(n) for n, c in columns.items()])
     path = common.scratch_path(spark, "corpus")
@@ -61,20 +92,19 @@ def copy(docs: DataFrame, columns: dict[str, Column], file_rows: int = FILE_ROWS
         task = TaskContext.get().partitionId()
         for k, (table, size) in enumerate(_files_of(batches, file_rows, file_bytes)):
             number, name = (task << 32) + k, f"part-{task:06d}-{k:06d}-{uuid.uuid4().hex[:12]}.parquet"
-            table = table.append_column("file", pa.array(np.full(table.num_rows, number)))
-            written: list = []
+            n = table.num_rows
+            table = table.append_column("file", pa.array(np.full(n, number)))
             with files.open_output_stream(f"{dir_}/{name}") as out:
-                pq.write_table(table, out, row_group_size=table.num_rows, compression="zstd", compression_level=3,
-                               use_dictionary=[c for c in table.column_names if c != "text"], metadata_collector=written)
-            if written[0].num_row_groups != 1:
-                raise ValueError("a file of the copy has more than one row group")
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64())], names=["name", "n_bytes"])
-
-    manifest = d.mapInArrow(write, "name string, n_bytes long").collect()  # a row a file
+                pq.write_table(table, out, compression="zstd", compression_level=3,
+                               use_dictionary=[c for c in table.column_names if c != "text"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([name]), pa.array([n], pa.int64()), pa.array([size], pa.int64())],
+                names=["file", "name", "n_rows", "n_bytes"])
+
+    files = common.store(d.mapInArrow(write, "file long, name string, n_rows long, n_bytes long"), "corpus-files")
+    total = files.agg(F.count(F.lit(1)), F.sum("n_rows"), F.sum("n_bytes")).first()
     schema = StructType([*d.schema.fields, StructField("file", LongType())])
-    names = sorted(r["name"] for r in manifest)
-    stored = spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in names]) if names else spark.createDataFrame([], schema)
-    return Corpus(stored, sum(r["n_bytes"] for r in manifest))
+    return Corpus(files, path, schema, total[0], total[1] or 0, total[2] or 0)
 
 
 def _files_of(batches: Iterator[pa.RecordBatch], rows: int, size: int) -> Iterator[tuple[pa.Table, int]]:
@@ -159,7 +189,7 @@ def ask(corpus: Corpus, columns: list[str], keys_of: Callable[[int, pa.Table], I
                 yield from add((kind, bucket, part, keys, extra))
         yield from flush()
 
-    return corpus.rows.select("file", *columns).mapInArrow(run, ASK)
+    return corpus.map(run, columns, ASK)
 
 
 def answer(asked: DataFrame, reply: Callable) -> DataFrame:

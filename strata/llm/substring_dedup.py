@@ -41,7 +41,7 @@ def window_hashes(words: tuple, data: np.ndarray, window: int, seed: int) -> tup
     if len(at) == 0:
         return out, at
     word = spans.hash_spans(data, starts, ends, seed)
-    step = 1 << 20
+    step = 1 << 18
     power, inverse = spans.powers(spans.odd(seed + 1), step + window)
     i = 0
     while i < len(at):
@@ -196,4 +196,4 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     texts = []
 
     out = f"`{id_col}` {'string' if text_id else 'long'}, n_words long, n_removed long, `{text_col}` string"
-    return corpus.rows.select("file", "doc", "text").mapInArrow(rebuild, out)
+    return corpus.map(rebuild, ["doc", "text"], out)
