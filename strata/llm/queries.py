@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import binary_ids, common, ctw, decontaminate, line_dedup, packing, quality, simhash, substring_dedup, token_counts, warc
+from strata.llm import (
+    audit, binary_ids, byte_bpe, common, ctw, decontaminate, line_dedup, packing, quality, resampling, simhash,
+    substring_dedup, token_counts, warc)
 
 
 def tokenizer_path(name: str) -> str:
@@ -70,9 +72,23 @@ def op10_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = common.read_table(spark, sf_dir, "documents"), common.read_table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(common.read_table(spark, sf_dir, "documents"), common.read_table(spark, sf_dir, "labels"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = byte_bpe.round_trip(common.read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_curve_packing, op2_line_dedup, op3_substring_dedup, op4_host_rules, op5_token_counts, op6_packed_ids,
-    op7_simhash, op8_warc, op9_decontaminate, op10_ctw_score)}
+    op7_simhash, op8_warc, op9_decontaminate, op10_ctw_score, op11_resampling, op12_filter_audit, op13_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": r"""
@@ -168,4 +184,75 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> last THEN last END AS refers_to
 FROM bits""",
+    # a CRC is linear but for its start: each byte's part, moved to the end of the feature, is one row
+    "op11_resampling": r"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+df AS (SELECT doc_id, unnest(w) AS f FROM dw UNION ALL
+       SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM dw WHERE len(w) > 1),
+bf AS (SELECT unnest(w) AS f FROM bw UNION ALL
+       SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM bw WHERE len(w) > 1),
+names AS MATERIALIZED (SELECT f, hex(encode(f)) AS h, octet_length(encode(f)) AS n
+                       FROM (SELECT f FROM df UNION SELECT f FROM bf) s),
+longest AS MATERIALIZED (SELECT coalesce(max(n), 0) AS most FROM names),
+t AS MATERIALIZED (
+  SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM range(256) r(b)),
+moved AS (SELECT 0::BIGINT AS d, b, c FROM t UNION ALL
+          SELECT d + 1, m.b, xor(m.c >> 8, t.c) FROM moved m JOIN t ON t.b = m.c & 255, longest WHERE d + 1 < most),
+zeros AS (SELECT 0::BIGINT AS n, 4294967295::BIGINT AS c UNION ALL
+          SELECT n + 1, xor(z.c >> 8, t.c) FROM zeros z JOIN t ON t.b = z.c & 255, longest WHERE n < most),
+bytes AS (SELECT f, n, n - 1 - i AS d, ('0x' || substr(h, 2 * i + 1, 2))::BIGINT AS b
+          FROM (SELECT f, h, n, unnest(range(n)) AS i FROM names) s),
+linear AS (SELECT f, any_value(n) AS n, bit_xor(c) AS c FROM bytes JOIN moved USING (d, b) GROUP BY f),
+bucketed AS MATERIALIZED (
+  SELECT f, xor(xor(linear.c, zeros.c), 4294967295) % 10000 AS bucket FROM linear JOIN zeros USING (n)),
+db AS MATERIALIZED (SELECT doc_id, bucket FROM df JOIN bucketed USING (f)),
+bb AS MATERIALIZED (SELECT bucket FROM bf JOIN bucketed USING (f)),
+gains AS (
+  SELECT r.bucket, floor(1000 * ln((coalesce(b.k, 0) + 1)::DOUBLE * ((SELECT count(*) FROM db) + 10000)
+                / ((coalesce(d.k, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bb) + 10000))))::BIGINT AS gain
+  FROM range(10000) r(bucket) LEFT JOIN (SELECT bucket, count(*) AS k FROM db GROUP BY bucket) d USING (bucket)
+  LEFT JOIN (SELECT bucket, count(*) AS k FROM bb GROUP BY bucket) b USING (bucket)),
+summed AS (SELECT doc_id, floor(sum(gain) / count(*))::BIGINT AS weight FROM db JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, (len(w) + greatest(len(w) - 1, 0))::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5)::DOUBLE
+                                                    / 4294967296)))::BIGINT AS score
+  FROM dw LEFT JOIN summed USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS pos, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN pos <= n * 25 // 100 THEN pos END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)""",
+    "op12_filter_audit": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (
+  SELECT doc_id, part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+         + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * (doc_id > min(doc_id) OVER (PARTITION BY t))::INT AS mask FROM d),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+x(l, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+p AS (SELECT x1.l || x2.l || x3.l || x4.l || x5.l AS filter_order, [x1.b, x2.b, x3.b, x4.b, x5.b] AS bits
+      FROM x x1, x x2, x x3, x x4, x x5 WHERE len(list_distinct([x1.l, x2.l, x3.l, x4.l, x5.l])) = 5),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+      FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM p) q),
+r AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM r""",
 }
