@@ -9,7 +9,7 @@
    constant function, which keeps texts apart.
 3. A character begins a pre-token by its class and the states around it (a table and two look-aheads).
 4. Distinct slices are merged once, lowest rank first and all new ones of a run side by side, and remembered
-   (bounded in bytes, emptied when full).
+   (bounded in bytes; those that were not used for a while are forgotten).
    ``ends``, the byte position after each token, is kept beside the ids; decoding joins the tokens' bytes and
    uses it to return any range of tokens.
 
@@ -44,7 +44,7 @@ _N = 10
 _BLOCK = 256
 _STEP = 1 << 20  # bytes of text in a run
 _LONG = 64  # bytes of a piece beyond which the lowest pair comes from a heap
-REMEMBERED = 16 << 20
+REMEMBERED = 32 << 20
 _ENTRY = 170
 _BITS = 20
 _EMPTY = np.uint64(2**64 - 1)
@@ -315,16 +315,20 @@ class Codec:
         self.single = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.uint64)
         self.pairs = Pairs(self.ranks)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.limit, self.held = limit, 0
 
     def ids_of(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each pre-token as little-endian unsigned 32-bit integers; new ones are merged together."""
-        known, ranks = self.known, self.ranks
-        out = [known.get(p) for p in pieces]
+        ranks = self.ranks
+        out = [self.known.get(p) for p in pieces]
         new = [i for i, ids in enumerate(out) if ids is None]
         many = []
         for i in new:
             p = pieces[i]
+            out[i] = self.older.get(p)
+            if out[i] is not None:
+                continue
             one = ranks.get(p)
             if one is not None:
                 out[i] = one.to_bytes(4, "little")
@@ -339,10 +343,10 @@ class Codec:
                 out[i] = raw[a:b]
         for i in new:
             self.held += len(pieces[i]) + len(out[i]) + _ENTRY
-            if self.held > self.limit:
-                known.clear()
+            if 2 * self.held > self.limit:
+                self.older, self.known = self.known, {}
                 self.held = len(pieces[i]) + len(out[i]) + _ENTRY
-            known[pieces[i]] = out[i]
+            self.known[pieces[i]] = out[i]
         return out
 
     def pieces(self, texts: spans.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
