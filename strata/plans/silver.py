@@ -16,9 +16,8 @@ from strata.functions.text import gender_expr
 from strata.operators.clean import (
     CleanSpec,
     apply_filters,
-    apply_renames,
-    cast_columns,
     clean,
+    conform,
     dedup,
     quality_conditions,
 )
@@ -89,12 +88,11 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rename_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_renames(union_sources(spark, sf_dir), PARTIES_SPEC.renames)
+    return conform(union_sources(spark, sf_dir), PARTIES_SPEC.renames)
 
 
 def _typed_accounts(spark, sf_dir):
-    df = apply_renames(accounts_raw(spark, sf_dir), ACCOUNTS_SPEC.renames)
-    return cast_columns(df, ACCOUNTS_SPEC.casts, ACCOUNTS_SPEC.uppercase)
+    return conform(accounts_raw(spark, sf_dir), ACCOUNTS_SPEC.renames, ACCOUNTS_SPEC.casts, ACCOUNTS_SPEC.uppercase)
 
 
 def clean_cast(spark, sf_dir):
