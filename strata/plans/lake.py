@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,33 @@ def _absent(e: Exception) -> bool:
     return isinstance(e, FileNotFoundError) or "PATH_NOT_FOUND" in str(e)
 
 
+def _clean_table(spark, name, specs, read_source, paths, force, as_of, database) -> tuple:
+    """The status row of one table (see ``run_clean``)."""
+    if name not in specs:
+        return name, "unknown", None, "no such table"
+    out = paths.table(database, name)
+    if not force and sinks.table_exists(spark, out):
+        return name, "skipped", None, None
+    spec, sources, notes = specs[name], [], []
+    for s in spec.sources:
+        try:
+            sources.append(read_source(s))
+        except (AnalysisException, FileNotFoundError) as e:
+            if not (spec.allow_missing and _absent(e)):
+                raise
+            notes.append(f"{s}: {e}")
+    if not sources:
+        raise ValueError("no source can be read: " + "; ".join(notes))
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=spec.allow_missing), sources)
+    sinks.write_overwrite(clean(df, spec, as_of), out)
+    try:
+        registered = catalog.register_table(spark, database, name, out)
+    except Exception as e:  # the data is written
+        registered = False
+        notes.append(f"registration: {e}")
+    return name, "written", registered, "; ".join(notes) or None
+
+
 def run_clean(
     spark: SparkSession,
     specs: Mapping[str, CleanSpec],
@@ -42,8 +71,10 @@ def run_clean(
     force: bool = False,
     as_of=None,
     database: str = "silver",
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Clean, write and register each selected entity; returns one status row per table.
+    """Clean, write and register each selected entity, ``parallelism`` of them at a time; returns one status row per
+    table, in the order of the names.
 
     An unknown name gets the status ``unknown``; a table already written (non-empty) is skipped unless
     ``force``; where the spec allows missing sources an absent one is left out and named in ``error`` (with
@@ -52,44 +83,20 @@ def run_clean(
     catalogue registration failure is not fatal (the data is written), its reason is kept.
     """
     names = list(only) if only else list(specs)
-    rows = []
-    for name in names:
-        if name not in specs:
-            rows.append((name, "unknown", None, "no such table"))
-            continue
+
+    @inheritable_thread_target(spark)
+    def run(name: str) -> tuple:
+        # a pool of its own: with the fair scheduler a small table does not wait behind a large one
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"clean-{name}")
         try:
-            out = paths.table(database, name)
-            if not force and sinks.table_exists(spark, out):
-                rows.append((name, "skipped", None, None))
-                continue
-            spec = specs[name]
-            sources, notes = [], []
-            for s in spec.sources:
-                try:
-                    sources.append(read_source(s))
-                except (AnalysisException, FileNotFoundError) as e:
-                    if not (spec.allow_missing and _absent(e)):
-                        raise
-                    notes.append(f"{s}: {e}")
-            if not sources:
-                raise ValueError("no source can be read: " + "; ".join(notes))
-            if spec.allow_missing:
-                df = sources[0]
-                for other in sources[1:]:
-                    df = df.unionByName(other, allowMissingColumns=True)
-            else:
-                df = sources[0]
-                for other in sources[1:]:
-                    df = df.unionByName(other)
-            sinks.write_overwrite(clean(df, spec, as_of), out)
-            try:
-                registered = catalog.register_table(spark, database, name, out)
-            except Exception as e:  # the data is written
-                registered = False
-                notes.append(f"registration: {e}")
-            rows.append((name, "written", registered, "; ".join(notes) or None))
+            return _clean_table(spark, name, specs, read_source, paths, force, as_of, database)
         except Exception as e:  # isolate per-table failures
-            rows.append((name, "failed", None, str(e)))
+            return name, "failed", None, str(e)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPool(max(1, parallelism)) as pool:
+        rows = pool.map(run, names, chunksize=1)
     return spark.createDataFrame(rows, "table string, status string, registered boolean, error string")
 
 

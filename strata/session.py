@@ -42,10 +42,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
         conf = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_strata_scratch"
+        unshared(sc.master, conf)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+def unshared(master: str, folder: str) -> None:
+    """Raise if several machines would each write to a folder of their own: the master is not local, nobody named a
+    shared folder, and the default lies in the local file system."""
+    on_disk = folder.startswith(("file:", "/"))
+    if on_disk and not master.startswith("local"):
+        raise ValueError(f"{folder} is local to each machine: set spark.checkpoint.dir to a folder that all of them share")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder, for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
@@ -60,6 +69,45 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files that this library wrote, in whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder (none if it is absent), in whatever file system it lies."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+
+
+class Scratch:
+    """Stored tables that are removed together: ``with Scratch(spark) as s: df = s.store(df, "name")``. Frames that
+    read them must not be used after the block; what is to stay is stored elsewhere."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep_last(self, n: int = 1) -> None:
+        """Remove all but the last ``n`` tables."""
+        while len(self.paths) > n:
+            remove(self.spark, self.paths.pop(0))
+
+    def __exit__(self, *_) -> None:
+        self.keep_last(0)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: survives the loss of an executor, and later
     steps read only the columns they need."""

@@ -6,22 +6,27 @@ re-run (``trigger(availableNow=True)``) converts only new files: the
 Each micro-batch is routed with ``foreachBatch``: parsed rows to the Bronze
 table, unparsable lines to a quarantine table. Both are written to a directory
 per batch id with overwrite, so a retried batch replaces its own output
-(idempotent, exactly-once on the file sink side).
+(idempotent, exactly-once on the file sink side). Once both are complete the
+batch is entered in each table's list of committed batches, which ``read_bronze``
+follows: a batch that stopped between the two writes is not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.casts import tolerant_cast
+from strata.session import folders
 
 CORRUPT = "_corrupt_record"
 BATCH = "_batch"
+COMMITTED = "_committed"
 
 
 @dataclass(frozen=True)
@@ -43,10 +48,30 @@ def _route(valid_dir: str, invalid_dir: str, valid_pred, invalid_cols: Sequence[
             bad.write.mode("overwrite").parquet(f"{invalid_dir}/{BATCH}={batch_id}")
         finally:
             batch.unpersist()
+        # the quarantine first: a batch whose rows can be read has its bad lines there too
+        for folder in (invalid_dir, valid_dir):
+            commit_batch(batch.sparkSession, folder, batch_id)
 
     return write
 
 
+def commit_batch(spark: SparkSession, table: str, batch_id: int) -> None:
+    """Enter a batch in the table's list (a folder a batch, so that a repeated entry replaces itself)."""
+    spark.range(batch_id, batch_id + 1).toDF(BATCH).coalesce(1).write.mode("overwrite").parquet(f"{table}/{COMMITTED}/id={batch_id}")
+
+
+def committed_ranges(spark: SparkSession, table: str) -> list[tuple[int, int]]:
+    """Ranges (first, last) of committed batches. Ids follow each other, so there is one range, and one more for
+    each batch that was given up."""
+    if not folders(spark, f"{table}/{COMMITTED}"):
+        return []
+    ids = spark.read.schema(f"{BATCH} long").parquet(f"{table}/{COMMITTED}").select(BATCH)
+    # a row a batch: the window over them is bounded by the batches of one table
+    numbered = ids.withColumn("_gap", F.col(BATCH) - F.row_number().over(Window.orderBy(BATCH)))
+    rows = numbered.groupBy("_gap").agg(F.min(BATCH), F.max(BATCH)).collect()
+    return sorted((r[1], r[2]) for r in rows)
+
+
 def ingest_csv(spark: SparkSession, landing: str, schema: StructType, valid_dir: str, invalid_dir: str,
                checkpoint: str, header: bool = False, timestamp_ntz_format: str | None = None,
                max_files_per_trigger: int | None = None) -> None:
@@ -92,5 +117,6 @@ def ingest_fixed_width(spark: SparkSession, landing: str, fields: Sequence[Fixed
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The converted table without the batch-id directory column."""
-    return spark.read.parquet(path).drop(BATCH)
+    """The committed batches of the converted table, without the batch-id column. Others are pruned as partitions."""
+    own = [F.col(BATCH).between(lo, hi) for lo, hi in committed_ranges(spark, path)]
+    return spark.read.parquet(path).where(reduce(lambda a, b: a | b, own, F.lit(False))).drop(BATCH)

@@ -68,3 +68,61 @@ def test_every_entity_has_a_spec_and_its_known_rules():
     assert specs["virement"].renames == specs["vignette"].renames == {"CONTRAT": "RADICAL"}
     assert "NUMERO_CARTE" in specs["carte"].not_null
     assert len(specs["digital"].sources) == len(specs["perimetre"].sources) == 1
+
+
+def test_a_batch_that_stopped_between_its_writes_is_not_read(spark, tmp_path, monkeypatch):
+    import pytest
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    landing, valid, bad, ckpt = (str(tmp_path / x) for x in ("landing", "bronze", "bad", "ckpt"))
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "f1.csv").write_text("1,a,1.5\n2,b,x\n")
+    ingest_csv(spark, landing, SCHEMA, valid, bad, ckpt)
+    (tmp_path / "landing" / "f2.csv").write_text("3,c,2.0\n4,d,y\n")
+    parquet = DataFrameWriter.parquet
+
+    def stops(self, path, *args, **kw):
+        if path.startswith(bad):
+            raise OSError("the quarantine cannot be written")
+        parquet(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", stops)
+    with pytest.raises(Exception, match="quarantine"):
+        ingest_csv(spark, landing, SCHEMA, valid, bad, ckpt)
+    assert (tmp_path / "bronze" / "_batch=1").exists()  # the first of the two writes was done
+    assert [r.id for r in read_bronze(spark, valid).collect()] == [1]
+    monkeypatch.undo()
+    ingest_csv(spark, landing, SCHEMA, valid, bad, ckpt)  # the batch is run again as a whole
+    assert sorted(r.id for r in read_bronze(spark, valid).collect()) == [1, 3]
+    assert sorted(r.raw for r in read_bronze(spark, bad).collect()) == ["2,b,x", "4,d,y"]
+
+
+def test_tables_side_by_side_give_the_same_status_rows(spark, tmp_path):
+    src = spark.createDataFrame([("1", "5"), ("2", "-1")], "RADICAL string, A string")
+    specs = {f"t{i}": CleanSpec(sources=("s",) if i % 3 else ("gone",), casts={"RADICAL": "long", "A": "double"}) for i in range(7)}
+
+    def read(name):
+        if name == "gone":
+            raise OSError("cannot be read")
+        return src
+
+    def rows(parallelism):
+        paths = LakePaths(str(tmp_path / f"lake{parallelism}"))
+        out = run_clean(spark, specs, read, paths, database=f"side{parallelism}", parallelism=parallelism).collect()
+        assert all(spark.read.parquet(paths.table(f"side{parallelism}", r.table)).count() == 2 for r in out if r.status == "written")
+        return [tuple(r) for r in out]
+
+    assert rows(1) == rows(4)
+    assert [r[1] for r in rows(4)] == ["failed", "skipped", "skipped", "failed", "skipped", "skipped", "failed"]
+
+
+def test_scratch_folder_of_a_cluster_must_be_shared():
+    import pytest
+
+    from strata.session import unshared
+
+    for folder in ("file:/home/x/_strata_scratch", "/home/x/_strata_scratch"):
+        unshared("local[8]", folder)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            unshared("spark://host:7077", folder)
+    unshared("yarn", "hdfs://lake/warehouse/_strata_scratch")
