@@ -28,6 +28,9 @@ class _AdaBoostParams(HasFeaturesCol, HasLabelCol, HasWeightCol, HasProbabilityC
     maxDepth = Param(Params._dummy(), "maxDepth", "depth of each tree", TypeConverters.toInt)
     minInstancesPerNode = Param(Params._dummy(), "minInstancesPerNode", "rows of a leaf at least", TypeConverters.toInt)
 
+    def setParams(self, **values):
+        return self._set(**values)
+
     def setProbabilityCol(self, value: str):
         return self._set(probabilityCol=value)
 

@@ -109,16 +109,16 @@ FAMILIES = {"gbt": Family(_draw_boosted, _make_boosted), "rf": Family(_draw_fore
             "ada": Family(_draw_adaptive, _make_adaptive)}
 TRIALS = ("family string, trial int, rung int, budget int, settings string, objective string, value double, "
           "survived boolean, best boolean")
-_WEIGHT = "__trial_weight"
+WEIGHT = "__trial_weight"
 
 
 def weighted(df: DataFrame, y: str, positive: float) -> DataFrame:
-    return df.withColumn(_WEIGHT, F.when(F.col(y) == 1, F.lit(float(positive))).otherwise(1.0))
+    return df.withColumn(WEIGHT, F.when(F.col(y) == 1, F.lit(float(positive))).otherwise(1.0))
 
 
 def fit_trial(family: Family, settings: dict, budget: int, train: DataFrame, y: str):
     """The model of one trial over an assembled frame."""
-    return family.make(settings, budget, y, _WEIGHT).fit(weighted(train, y, settings["positive"]))
+    return family.make(settings, budget, y, WEIGHT).fit(weighted(train, y, settings["positive"]))
 
 
 def halving(train: DataFrame, valid: DataFrame, key: str, y: str, *, families: dict[str, Family] = FAMILIES, objective: str = "f1",

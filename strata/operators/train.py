@@ -174,6 +174,7 @@ def rfe(estimator_factory, train: DataFrame, valid: DataFrame, features: Sequenc
         at_k = ev.lift_at_k(s, key=key, y=y).first()
         ap = ev.average_precision(s, y=y).first()["pr_auc"]
         rows.append((len(rows), len(current), at_k["lift"], at_k["capture"], ap, current))
+        # one value a feature
         imp = sorted(zip(model.featureImportances.toArray().tolist(), current), key=lambda t: (t[0], t[1]))
         dropped = {f for _, f in imp[:max(1, int(len(current) * drop_fraction))]}
         current = [f for f in current if f not in dropped]

@@ -157,7 +157,16 @@ TRAINED_FACTS = f"""SELECT COUNT(*) AS n_rows, COUNT(*) AS n_keys, CAST(SUM(labe
     COUNT(*) FILTER (split = 'test') AS n_test, CAST(0 AS BIGINT) AS bad_scores, CAST(0 AS BIGINT) AS bad_predictions,
     CAST(0 AS BIGINT) AS bad_deciles, CAST(0 AS BIGINT) AS bad_ranks FROM ({MODEL_SPLIT})"""
 
-ORACLE_MODEL = {"downcast_features": DOWNCAST_FEATURES, "model_split": MODEL_SPLIT, "trained_facts": TRAINED_FACTS}
+# the rows of each class in hash order are dealt out to three folds in turn
+FLEET_FOLDS = f"""SELECT RADICAL, label_any, CAST((ROW_NUMBER() OVER (PARTITION BY label_any
+    ORDER BY {_HASH}, RADICAL) - 1) % 3 AS INTEGER) AS fold FROM ({MODEL_SPLIT}) WHERE split = 'train'"""
+FLEET_FACTS = f"""SELECT COUNT(*) AS n_rows, COUNT(*) AS n_keys, CAST(SUM(label_any) AS BIGINT) AS n_pos,
+    COUNT(*) FILTER (split = 'train') AS n_train, COUNT(*) FILTER (split = 'thr') AS n_thr,
+    COUNT(*) FILTER (split = 'test') AS n_test, CAST(0 AS BIGINT) AS bad_scores, CAST(0 AS BIGINT) AS bad_predictions,
+    COUNT(*) FILTER (split = 'train') AS n_held, COUNT(*) FILTER (split = 'train') AS n_held_keys,
+    CAST(3 AS BIGINT) AS n_folds, CAST(0 AS BIGINT) AS bad_held, CAST(0 AS BIGINT) AS repeated_values FROM ({MODEL_SPLIT})"""
+
+ORACLE_MODEL = {"fleet_folds": FLEET_FOLDS, "fleet_facts": FLEET_FACTS, "downcast_features": DOWNCAST_FEATURES, "model_split": MODEL_SPLIT, "trained_facts": TRAINED_FACTS}
 
 ORACLE = {
     "label_distribution": LABEL_DISTRIBUTION,

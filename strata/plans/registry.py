@@ -153,6 +153,11 @@ from strata.plans import model_chain as _mc  # noqa: E402
 for _name, _fn in _mc.QUERIES.items():
     register(_name, _MD_SQL.get(_name))(_fn)
 
+from strata.plans import model_fleet as _mf  # noqa: E402
+
+for _name, _fn in _mf.QUERIES.items():
+    register(_name, _MD_SQL.get(_name))(_fn)
+
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
