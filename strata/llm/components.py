@@ -14,8 +14,8 @@ def components(links: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     Large-star: each node links its larger neighbours to its smallest one. Small-star: each node links
     its smaller neighbours and itself to the smallest. Both keep the components and never square a
     group: a node of any degree is reduced by ``min``, and its links are rewritten one by one. The
-    minimum is joined back on the node (the adaptive join splits a hot one). Every round is written to
-    the shared folder. It ends when a round changes nothing; the rounds grow with the logarithm of the
+    minima are stored before they are joined back on the node: both sides of that join are then shuffled for it,
+    and the adaptive join splits a node with very many links. Every round is written to the shared folder. It ends when a round changes nothing; the rounds grow with the logarithm of the
     longest chain, and running out of them is an error, not a cut.
     """
     edges = links.where(F.col(a) != F.col(b)).select(
@@ -30,10 +30,10 @@ def components(links: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
         if before[0] == 0:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u != v").distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = common.store(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "links-low")
+        large = common.store(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                             .where("u != v").distinct(), "links-large")
+        low = common.store(large.groupBy("u").agg(F.min("v").alias("m")), "links-low")
         small = (large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
                                              F.col("m").alias("v")).distinct())
         edges = common.store(small, "links")

@@ -9,14 +9,15 @@ share, verifies the distance and deduplicates the links. With a 16-bit prefix an
 rows a fingerprint instead of 2081, for the same variants.
 
 All fingerprints in a variant are within the radius of each other, so linking each to the smallest one
-keeps every connection without pairs within the group. A prefix that very many fingerprints share (near
-copies by the million) is expanded in slices of its variants, so a task holds its rows, not their variants.
+keeps every connection without pairs within the group. Prefixes that very many fingerprints share (near copies by
+the million) are found by a count before anything is sent; what meets in them goes on to longer prefixes, which are
+shuffle keys of their own, until no prefix is crowded. Within a task a prefix is expanded in slices of its variants.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -28,7 +29,8 @@ from strata.llm import common, spans
 from strata.llm.components import components
 
 _RUN = 1 << 16  # shingles hashed at a time
-_DEEPER = 8  # bits by which an overfull prefix is sliced
+_DEEPER = 8  # bits by which an overfull prefix is sliced, or a crowded one made longer
+CROWDED = 1 << 14  # distinct fingerprints of one prefix from which on it is made longer
 
 
 def fingerprint(raw: bytes, shingle: int = 4) -> int:
@@ -81,10 +83,50 @@ def _low_masks(bits: int, flips: int) -> np.ndarray:
     return np.concatenate([_masks(0, bits, t) for t in range(flips + 1)])
 
 
-def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None, budget: int = 1 << 20) -> DataFrame:
+SENT = "at long, fp long, flips byte"
+
+
+def _deeper(batches: Iterator[pa.RecordBatch], depth: int, step: int) -> Iterator[pa.RecordBatch]:
+    """Rows (prefix of ``depth`` bits, fingerprint, flips left) as rows for prefixes of ``step`` more bits: one for
+    each value of those bits that the flips allow."""
+    values = np.arange(1 << step, dtype=np.uint64)
+    for b in batches:
+        for i in range(0, b.num_rows, 4096):
+            at, fp = (np.asarray(b.column(k)[i:i + 4096]).view(np.uint64) for k in (0, 1))
+            left = np.asarray(b.column(2)[i:i + 4096])
+            bits = (fp >> np.uint64(64 - depth - step)) & np.uint64((1 << step) - 1)
+            need = np.bitwise_count(bits[:, None] ^ values[None, :]).astype(np.int8)
+            row, value = np.nonzero(need <= left[:, None])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(((at[row] << np.uint64(step)) | value.astype(np.uint64)).view(np.int64)),
+                 pa.array(fp[row].view(np.int64)), pa.array(left[row] - need[row, value])], names=["at", "fp", "flips"])
+
+
+def dealt(fps: DataFrame, sent: DataFrame, prefix: int, half: int, crowded: int) -> list[tuple[int, DataFrame]]:
+    """(depth, rows): what is sent, with longer prefixes wherever more than ``crowded`` fingerprints share one of
+    ``depth`` bits or one of those that are up to ``half`` flips away. A row for each crowded prefix is stored."""
+    out, depth = [], prefix
+    while True:
+        step = min(_DEEPER, 64 - depth)
+        own = F.shiftrightunsigned("fp", 64 - depth) if depth < 64 else F.col("fp")
+        hot = common.store(fps.groupBy(own.alias("at")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowded).select("at"), "crowded")
+        if step <= 0 or hot.isEmpty():
+            return [*out, (depth, sent)]
+        masks = np.concatenate([_masks(0, depth, t) for t in range(half + 1)]).view(np.int64)
+        near = hot.mapInArrow(lambda batches, masks=masks: (pa.RecordBatch.from_arrays(
+            [pa.array((np.asarray(b.column(0))[i:i + 1024, None] ^ masks[None, :]).ravel())], names=["at"])
+            for b in batches for i in range(0, b.num_rows, 1024)), "at long").distinct()
+        near, _ = common.small_side(common.store(near, "crowded-near"))
+        out.append((depth, sent.join(near, "at", "left_anti")))
+        sent = sent.join(near, "at", "left_semi").mapInArrow(lambda batches, d=depth, k=step: _deeper(batches, d, k), SENT)
+        depth += step
+
+
+def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None, budget: int = 1 << 20,
+           crowded: int = CROWDED) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints (column ``fp``): every two within ``radius`` bits are
     connected by links, and every link joins two within it. ``radius`` is even; ``budget`` is the number of
-    variants a task expands at a time."""
+    variants a task expands at a time; ``crowded`` the fingerprints of a prefix from which on it is made longer."""
     if radius % 2:
         raise ValueError("the radius must be even")
     half = radius // 2
@@ -138,7 +180,7 @@ def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None, budget: i
         if len(pairs):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], schema=links)
 
-    def whole(at, fp, flips, depth: int = prefix) -> Iterator[pa.RecordBatch]:
+    def whole(at, fp, flips, depth: int) -> Iterator[pa.RecordBatch]:
         """``meet`` over runs of whole prefixes (rows are sorted by prefix) of about ``budget`` variants;
         a prefix beyond it is sliced by the next bits of its variants."""
         cost = np.array([len(_low_masks(64 - depth, f)) for f in range(half + 1)])
@@ -165,7 +207,7 @@ def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None, budget: i
                 deeper = np.full(len(own), (int(at) << step) | value, dtype=np.uint64)
                 yield from whole(deeper, fp[own], flips[own] - need[own], depth + step)
 
-    def collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def collide(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             if batch.num_rows == 0:
@@ -176,14 +218,15 @@ def linked(fps: DataFrame, radius: int = 4, prefix: int | None = None, budget: i
                 now = [np.concatenate([h, x]) for h, x in zip(held, now, strict=True)]
             last = int(np.searchsorted(now[0], now[0][-1]))  # this prefix may go on in the next batch
             if last:
-                yield from whole(*(x[:last] for x in now))
+                yield from whole(*(x[:last] for x in now), depth)
             held = [x[last:] for x in now]
         if held is not None:
-            yield from whole(*held)
+            yield from whole(*held, depth)
 
-    sent_rows = fps.select("fp").mapInArrow(emit, "at long, fp long, flips byte")
-    parts = sent_rows.repartition("at").sortWithinPartitions("at")
-    return parts.mapInArrow(collide, "a long, b long").distinct()
+    met = [rows.repartition("at").sortWithinPartitions("at").mapInArrow(
+        lambda batches, depth=depth: collide(batches, depth), "a long, b long")
+        for depth, rows in dealt(fps, fps.select("fp").mapInArrow(emit, SENT), prefix, half, crowded)]
+    return reduce(DataFrame.unionByName, met).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -209,7 +252,8 @@ def _named(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: in
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = common.store(rooted, "fingerprint-roots")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # stored: a component of very many fingerprints is split by the adaptive join
+    least = common.store(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
     named = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc", "version", "fp", "component_id")
 

@@ -58,14 +58,16 @@ def deduplicated(pages: DataFrame, id_col: str = "page_id", body_col: str = "htm
                  min_bytes: int = 0) -> DataFrame:
     """Columns ``id, url, sha1, bytes, refers_to, body``: of records with equal payloads of at least
     ``min_bytes`` bytes, that with the largest id is the response and keeps its body; the others refer to
-    it. Digests are grouped (combined before the shuffle); bodies are shuffled once, by id."""
+    it. Digests are grouped (combined before the shuffle) and stored, so that the adaptive join can split a payload
+    that most pages share; bodies are shuffled once, by id."""
     body = F.coalesce(F.col(body_col), F.lit("")).cast("binary")
     url = F.col(url_col) if url_col in pages.columns else F.lit(None).cast("string")
     rows = pages.select(F.col(id_col).alias("id"), url.alias("url"), body.alias("body"))
     rows = rows.withColumns({"sha1": F.sha1("body"), "bytes": F.octet_length("body").cast("long")})
-    keys = rows.select("id", "sha1", "bytes")
+    keys = common.store(rows.select("id", "sha1", "bytes"), "warc-keys")
     held = (keys.where(F.col("bytes") >= min_bytes).groupBy("sha1", "bytes")
             .agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    held = common.store(held, "warc-shared")
     refers = (keys.join(held, ["sha1", "bytes"]).where("not (id <=> last)")
               .select(F.col("id").alias("own"), F.col("sha1").alias("own_sha1"), "last").distinct())
     joined = rows.join(refers, F.col("id").eqNullSafe(F.col("own")) & (F.col("sha1") == F.col("own_sha1")), "left")

@@ -6,9 +6,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_helpers import SPACES, as_dict, lower, words_of
-from strata.llm import line_dedup, parts, simhash, substring_dedup
+from strata.llm import common, line_dedup, parts, simhash, substring_dedup
 from strata.llm.components import components
 
 # ------------------------------------------------------------- lines
@@ -235,6 +236,71 @@ def test_a_crowded_prefix_is_expanded_in_slices(spark):
         assert len(roots) == table.count() and len(set(roots.values())) == 1
 
 
+def test_crowded_prefixes_are_met_by_several_tasks(spark):
+    """Fingerprints of one template share 44 bits: they go on to longer prefixes, and no link is lost."""
+    rnd = random.Random(12)
+    head = rnd.getrandbits(44) << 20
+    values = {head | rnd.getrandbits(20) for _ in range(700)} | {rnd.getrandbits(64) for _ in range(200)}
+    values |= {v ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) for v in list(values)[:300]}
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    table = spark.createDataFrame(signed, "fp long").repartition(3)
+    whole = {tuple(r) for r in simhash.linked(table, 4, 8).collect()}
+    long_ = {tuple(r) for r in simhash.linked(table, 4, 8, crowded=60).collect()}
+    assert linked_classes(values, long_) == linked_classes(values, whole) == linked_classes(values, [
+        (a, b) for a, b in itertools.combinations(sorted(values), 2) if (a ^ b).bit_count() <= 4])
+    sent = table.crossJoin(spark.createDataFrame([(0,)], "one int")).selectExpr("shiftrightunsigned(fp, 56) as at", "fp", "cast(0 as byte) as flips")
+    levels = simhash.dealt(table, sent, 8, 2, 60)
+    assert len(levels) > 1 and levels[0][0] == 8
+    own = levels[-1][1].where(F.shiftrightunsigned("fp", 20) == F.shiftrightunsigned(F.lit(head - (1 << 64) if head >> 63 else head), 20))
+    assert own.select("at").distinct().count() > 8  # keys of the shuffle that the template's rows go by
+
+
+def linked_classes(values, links):
+    """The classes of values that links connect, as sorted lists."""
+    parent = {v: v for v in values}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a % (1 << 64)), root(b % (1 << 64))
+        parent[max(a, b)] = min(a, b)
+    groups = defaultdict(list)
+    for v in values:
+        groups[root(v)].append(v)
+    return sorted(sorted(g) for g in groups.values())
+
+
+def plan_of(df):
+    assert df.collect()  # runs this frame's own plan, which is then the final one
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hub_is_split(spark):
+    """The join of links with their stored minima splits a node that holds most of them."""
+    keep = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k, v in zip(keep, ("64k", "64k", "-1", "-1")):
+        spark.conf.set(k, v)
+    try:
+        links = spark.range(200_000).selectExpr("case when id % 10 < 9 then 0 else id + 1000000 end as u", "id + 1 as v").repartition(8)
+        stored = common.store(links, "hub")
+        low = common.store(stored.groupBy("u").agg(F.min("v").alias("m")), "hub-low")
+        assert "skew=true" in plan_of(stored.join(low, "u"))
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_components_of_a_hub_and_a_chain(spark):
+    links = [(0, i) for i in range(1, 400)] + [(1000 + i, 1001 + i) for i in range(60)]
+    roots = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    assert roots == {i: 0 for i in range(400)} | {1000 + i: 1000 for i in range(61)}
+
+
 def test_simhash_odd_rows(odd, empty):
     out = simhash.near_duplicates(odd).collect()
     assert len(out) == odd.count()
