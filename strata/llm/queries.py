@@ -131,24 +131,30 @@ windows AS (
 repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) >= 2),
 covered AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM repeated, (VALUES (0), (1), (2)) v(o) GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM words),
-dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) AS n_lines FROM lines
         WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 base AS (
   SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM words LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
-per AS (SELECT source, count(*)::DOUBLE AS docs, count(*) FILTER (base_failed)::DOUBLE AS failures FROM judged GROUP BY source),
-total AS (SELECT sum(docs) AS n, sum(failures) AS k, count(*) AS hosts, sum(docs * docs) AS n2,
-                 sum(failures * failures / docs) AS k2 FROM per),
-moments AS (SELECT k / n AS m, (k2 - n * (k / n) * (k / n) - (hosts - 1) * (k / n) * (1 - k / n)) / nullif(n - n2 / n, 0) AS v
+rule AS (
+  SELECT source, unnest([n_words < 50, 100 * n_repeat_words > 50 * n_words, 100 * n_symbols > 10 * n_words,
+                         100 * n_dup_lines > 30 * n_lines, word_chars < 3 * n_words OR word_chars > 10 * n_words]) AS failed,
+         unnest(range(5)) AS r FROM base),
+per AS (SELECT source, r, count(*)::DOUBLE AS docs, count(*) FILTER (failed)::DOUBLE AS failures FROM rule GROUP BY source, r),
+total AS (SELECT r, sum(docs) AS n, sum(failures) AS k, count(*) AS hosts, sum(docs * docs) AS n2,
+                 sum(failures * failures / docs) AS k2 FROM per GROUP BY r),
+moments AS (SELECT r, k / n AS m, (k2 - n * (k / n) * (k / n) - (hosts - 1) * (k / n) * (1 - k / n)) / nullif(n - n2 / n, 0) AS v
             FROM total),
-prior AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1e6) ELSE 1e6 END AS strength FROM moments),
-rates AS (SELECT source, (failures + m * strength) / (docs + strength) AS rate FROM per, prior)
+prior AS (SELECT r, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1e6) ELSE 1e6 END AS strength FROM moments),
+rates AS (SELECT source, r, m, (failures + m * strength) / (docs + strength) AS rate FROM per JOIN prior USING (r)),
+hosts AS (SELECT source, bool_or(rate > greatest(least(greatest(3 * m, 0.25), 0.5), m * 1.25)) AS rejected FROM rates GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND rate <= 0.5 AS kept
-FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source""",
+       NOT base_failed AND NOT rejected AS kept
+FROM judged JOIN hosts ON judged.source IS NOT DISTINCT FROM hosts.source""",
     "op9_decontaminate": r"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -46,12 +46,12 @@ def test_counts_fall_back_to_whole_hashes(docs, rows, monkeypatch):
 def test_host_rates_shrink(spark):
     data = [("good", i < 10) for i in range(1000)] + [("bad", i < 900) for i in range(1000)] + [("tiny", True)] \
         + [(f"h{k}", i < 5) for k in range(20) for i in range(100)]
-    rows = spark.createDataFrame(data, "host string, failed boolean")
-    rate = {r["host"]: r["rate"] for r in quality.host_rates(rows, "host", F.col("failed")).collect()}
+    rows = spark.createDataFrame(data, "host string, rule boolean")
+    rate = {r["host"]: r["rate_rule"] for r in quality.host_rates(rows, "host", ["rule"]).collect()}
     assert abs(rate["good"] - 0.01) < 0.01 and rate["bad"] > 0.85
     assert rate["tiny"] < 0.9 and rate["tiny"] > rate["h0"]  # one document is drawn towards the mean
     same = spark.createDataFrame([("a", i < 5) for i in range(50)] + [("b", i < 5) for i in range(50)], rows.schema)
-    assert {round(r["rate"], 4) for r in quality.host_rates(same, "host", F.col("failed")).collect()} == {0.1}
+    assert {round(r["rate_rule"], 4) for r in quality.host_rates(same, "host", ["rule"]).collect()} == {0.1}
 
 
 def test_a_bad_host_is_rejected(spark):
@@ -60,6 +60,29 @@ def test_a_bad_host_is_rejected(spark):
     got = as_dict(quality.judged(spark.createDataFrame(data, "doc_id long, text string, source string")))
     assert not any(r["kept"] for r in got.values() if r["source"] == "farm")
     assert all(r["kept"] for r in got.values() if r["source"] != "farm")
+    assert {tuple(r["host_failed"]) for r in got.values()} == {("words",), ()}
+
+
+def test_hosts_fail_by_rules_beside_the_base_ones(spark):
+    """No document of these hosts fails a base rule; their symbols, lines and word lengths reject them."""
+    plain = " ".join(f"word{i}" for i in range(60))
+    texts = {"marks": plain + " # $ % & | < > # $ %", "lines": "\n".join([plain, *["one short line"] * 3]),
+             "length": " ".join(f"averyverylongword{i}" for i in range(60))}
+    data = [(k * 100 + i, texts[h] if i % 5 else plain, h) for k, h in enumerate(texts) for i in range(60)]
+    data += [(1000 + i, texts["marks"] if i % 40 == 0 else plain, f"ok{i // 60}") for i in range(1200)]
+    got = as_dict(quality.judged(spark.createDataFrame(data, "doc_id long, text string, source string")))
+    assert not any(r["base_failed"] for r in got.values())
+    for h, rule in (("marks", "symbols"), ("lines", "lines"), ("length", "length")):
+        assert {tuple(r["host_failed"]) for r in got.values() if r["source"] == h} == {(rule,)}
+        assert not any(r["kept"] for r in got.values() if r["source"] == h)
+    assert all(r["kept"] for r in got.values() if r["source"].startswith("ok"))
+
+
+def test_no_host_near_the_mean_is_rejected(spark):
+    """Where all hosts are equally bad, no host is worse than the others."""
+    data = [(i, "junk" if i % 3 else " ".join(f"w{k}" for k in range(60)), f"h{i % 7}") for i in range(700)]
+    got = as_dict(quality.judged(spark.createDataFrame(data, "doc_id long, text string, source string")))
+    assert all(r["host_failed"] == [] and r["kept"] != r["base_failed"] for r in got.values())
 
 
 def test_quality_odd_rows(odd, empty):
