@@ -262,7 +262,7 @@ def _share(part: str, n: int) -> Column:
     return F.pmod(F.xxhash64(part), F.lit(max(n, 1)))
 
 
-def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", depth: int = 4) -> DataFrame:
+def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", depth: int = 5) -> DataFrame:
     """Score all rows with a model learned from those where ``learn`` is true (null: not).
 
     Returns per row ``id_col``, ``held_out`` (not learned from), ``n_tokens``, ``n_known``, ``train_tokens``,
