@@ -61,7 +61,7 @@ def projection(dims: int, seed: int = 7) -> np.ndarray:
     return np.random.default_rng(seed).integers(-1023, 1024, size=(BUCKETS, dims), dtype=np.int64)
 
 
-def curve_keys(column: pa.Array, matrix: np.ndarray, bits: int, step: int = 4 << 20) -> np.ndarray:
+def curve_keys(column: pa.Array, matrix: np.ndarray, bits: int, step: int = 1 << 20) -> np.ndarray:
     """Hilbert keys of the texts of an Arrow column (no words: the centre of the grid)."""
     texts = spans.texts_of(column)
     out = np.empty(len(texts), dtype=np.int64)

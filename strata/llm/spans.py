@@ -7,6 +7,7 @@ hashed by a fixed number of vector operations instead of a Python loop per word.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -18,7 +19,7 @@ U64 = np.uint64
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
-_STEP = 1 << 20  # bytes hashed per vector operation
+_STEP = 1 << 18  # bytes hashed per vector operation
 _LONG = 4096  # longer spans are hashed one by one
 
 
@@ -73,20 +74,15 @@ def odd(seed: int) -> int:
     return ((x * 0xBF58476D1CE4E5B9) & (2**64 - 1) & ~7) | 5
 
 
-_POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-
-
+@lru_cache(maxsize=4)
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64 for i < n (base odd)."""
-    size = 1 << max(10, (n - 1).bit_length())
-    if (base, size) not in _POWERS:
-        out = []
-        for b in (base, pow(base, -1, 2**64)):
-            p = np.full(size, b, dtype=U64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=U64))
-        _POWERS[(base, size)] = (out[0], out[1])
-    return _POWERS[(base, size)]
+    """base^i and base^-i modulo 2^64 for i < n (base odd); those of four bases are remembered."""
+    out = []
+    for b in (base, pow(base, -1, 2**64)):
+        p = np.full(n, b, dtype=U64)
+        p[0] = 1
+        out.append(np.cumprod(p, dtype=U64))
+    return out[0], out[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -12,7 +12,8 @@ gathered back, so the result equals the library's ids for every whole text. Cuts
 No pattern of these tokenizers matches across such a place or looks behind it, and
 no Unicode normalisation composes across it. Everywhere else the text is not cut.
 A text that holds a special token's string goes to the library whole. The memory
-of pieces is bounded (``limit``); it changes speed, never ids.
+of pieces is bounded in bytes (``limit``): once half of it is new, what was not used since the last time
+is forgotten. It changes speed, never ids.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ _CLASS[127] = _ODD
 _CLASS[[ord(c) for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = _MARK
 _CLASS[65:91] = _CLASS[97:123] = _LETTER
 _CLASS[32], _CLASS[10] = _SPACE, _LINE
+#: Bytes of pieces a worker remembers, and what Python needs beside the bytes of one (two objects, a dict's slot).
+REMEMBERED = 40 << 20
+_ENTRY = 170
 #: First two UTF-8 bytes of characters outside ASCII that are white space (or share their first bytes).
 _WIDE = ((0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80))
 
@@ -63,9 +67,9 @@ def pieces(texts: spans.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    """Ids of whole texts for one vocabulary file. ``limit``: pieces remembered per worker."""
+    """Ids of whole texts for one vocabulary file. ``limit``: bytes of the pieces that a worker remembers."""
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = REMEMBERED):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
@@ -76,8 +80,9 @@ class Encoder:
         self.bytes_to_chars = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         same = self._library(" a") == self._library("a")
         self.space = "" if same else self.bytes_to_chars.pre_tokenize_str(" ")[0][0]
-        self.limit = limit
+        self.limit, self.held = limit, 0
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
@@ -97,12 +102,17 @@ class Encoder:
     def _lookup(self, piece: bytes) -> bytes:
         ids = self.known.get(piece)
         if ids is None:
-            ids = self._piece(piece)
-            if len(self.known) < self.limit:
-                self.known[piece] = ids
+            ids = self.older.get(piece)
+            if ids is None:
+                ids = self._piece(piece)
+            self.held += len(piece) + len(ids) + _ENTRY
+            if 2 * self.held > self.limit:
+                self.older, self.known = self.known, {}
+                self.held = len(piece) + len(ids) + _ENTRY
+            self.known[piece] = ids
         return ids
 
-    def encode(self, column: pa.Array, step: int = 4 << 20):
+    def encode(self, column: pa.Array, step: int = 2 << 20):
         """Yields (first row, ids, ids before each row) for runs of rows of about ``step`` bytes; the last
         array has one entry more than rows. Null and empty texts have no ids."""
         texts = spans.texts_of(column)
