@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.features import LABELS
-from strata.operators.rank import prefix_sums
+from strata.operators.selection import values_at
 
 
 def _stack(wide: DataFrame, rows: list[tuple[Column, ...]], names: list[str]) -> DataFrame:
@@ -44,40 +44,12 @@ def null_profile(df: DataFrame) -> DataFrame:
     return _stack(wide, rows, ["column", "n_null", "null_pct"]).filter(F.col("n_null") > 0)
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value) pairs for the given numeric columns, nulls dropped."""
-    arr = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns))
-    return df.select(F.explode(arr).alias("_p")).select("_p.column", "_p.value").filter(F.col("value").isNotNull())
-
-
 def exact_percentiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> DataFrame:
-    """Exact linear percentiles of many columns in one distributed job (nulls ignored).
-
-    All columns are unpivoted into (column, value) and equal values are counted first, in each task and
-    then over all: a value that fills a column (a zero-filled amount) is one row from there on. The
-    distinct values are ordered once by (column, value) with running counts, and the value at a position
-    is the one whose run covers it. The result has at most 2 * len(qs) rows per column.
-    """
-    counts = _long(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = prefix_sums(counts, [F.col("column").asc(), F.col("value").asc()], {"n": "_n"}, totals=False)
-    size = ranked.groupBy("column").agg(F.max("cum_n").alias("_upto"), F.sum("_n").alias("n_class"))
-    ranked = ranked.join(size, "column")  # one row per column
-    base = F.col("_upto") - F.col("n_class")
-    first, last = F.col("cum_n") - F.col("_n") - base, F.col("cum_n") - base - 1
-    hits = []
-    for i, q in enumerate(qs):
-        h = (F.col("n_class") - 1) * F.lit(float(q))
-        lo = F.floor(h)
-        hi = F.least(lo + 1, F.col("n_class") - 1)
-        holds = lambda p: (first <= p) & (p <= last)
-        hits.append(F.struct(F.lit(i).alias("i"), F.when(holds(lo), F.col("value")).alias("a"),
-                             F.when(holds(hi), F.col("value")).alias("b"), (h - lo).alias("t")))
-    picked = ranked.select("column", F.explode(F.filter(F.array(*hits), lambda x: x["a"].isNotNull() | x["b"].isNotNull())).alias("_h"))
-    g = picked.groupBy("column", F.col("_h.i").alias("_i")).agg(
-        F.max("_h.a").alias("_a"), F.max("_h.b").alias("_b"), F.first("_h.t").alias("_t"))
-    g = g.select("column", "_i", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t")).alias("_v"))
-    out = g.groupBy("column").pivot("_i", list(range(len(qs)))).agg(F.first("_v"))
-    return out.select("column", *(F.col(str(i)).alias(f"q{i}") for i in range(len(qs))))
+    """Exact linear percentiles of many columns (nulls ignored; no row for a column without a value), by selection:
+    ``column`` and ``q<i>`` for each of ``qs``. No row of the data is sorted but those between a sketch's bounds."""
+    found = values_at(df, {c: list(qs) for c in columns})
+    rows = [(c, *(v[q] for q in qs)) for c, v in found.items() if any(x is not None for x in v.values())]
+    return df.sparkSession.createDataFrame(rows, ", ".join(["column string", *(f"q{i} double" for i in range(len(qs)))]))
 
 
 def percentile_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -101,6 +73,23 @@ def approx_percentile_profile(df: DataFrame, columns: Sequence[str], accuracy: i
         "ratio", F.when(F.col("p99") > 0, F.round(F.col("max") / F.col("p99"), 1)))
 
 
+def rank_errors(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
+    """For each column and percentile of ``approx_percentile_profile``: whether the rank of the sketch's value is
+    within its promise, ``1 / accuracy`` of the values (and one value) of the wanted rank."""
+    names = ["p50", "p75", "p95", "p99", "max"]
+    said = {r["column"]: r for r in approx_percentile_profile(df, columns, accuracy).collect()}  # a row a column
+    known = [(c, n, q) for c in columns for n, q in zip(names, [0.5, 0.75, 0.95, 0.99, 1.0]) if said[c][n] is not None]
+    value = lambda c, n: F.lit(float(said[c][n]))
+    wide = df.agg(*(x.alias(f"{k}_{i}") for i, (c, n, _) in enumerate(known) for k, x in (
+        ("n", F.count(c)), ("under", F.count_if(F.col(c).cast("double") < value(c, n))), ("upto", F.count_if(F.col(c).cast("double") <= value(c, n))))))
+    rows = []
+    for i, (c, n, q) in enumerate(known):
+        slack = F.col(f"n_{i}") / accuracy + 1
+        rank = F.col(f"n_{i}") * q
+        rows.append((F.lit(c), F.lit(n), (F.col(f"under_{i}") - slack <= rank) & (rank <= F.col(f"upto_{i}") + slack)))
+    return _stack(wide, rows, ["column", "percentile", "within"])
+
+
 def safe_corr(a: Column | str, b: Column | str) -> Column:
     """Pearson correlation; null (not an error) when either side is constant."""
     a = F.col(a) if isinstance(a, str) else a

@@ -103,3 +103,8 @@ def class_weight(spark, sf_dir):
 def approx_percentile_profile(spark, sf_dir):
     """The notebook's own method: percentile_approx (bounded-memory sketch), all columns in one pass."""
     return profile.approx_percentile_profile(gold.master_table(spark, sf_dir), OUTLIER_COLS)
+
+
+def approx_rank_error(spark, sf_dir):
+    """Whether the sketch's percentiles keep their promised rank error."""
+    return profile.rank_errors(materialized_master(spark, sf_dir), OUTLIER_COLS)

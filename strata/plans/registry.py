@@ -117,6 +117,9 @@ from strata.plans.oracle_eval import SCORED as _SCORED, _lift_table_sql  # noqa:
 register("report_csv", f"WITH {_SCORED}, {_lift_table_sql('y_proba', 'model_a', 'a')} SELECT * FROM lt_a")(
     _lk.report_csv)
 register("approx_percentile_profile")(_an.approx_percentile_profile)
+register("approx_rank_error", """SELECT c AS "column", p AS percentile, TRUE AS within
+    FROM (SELECT unnest([%s]) AS c), (SELECT unnest(['p50', 'p75', 'p95', 'p99', 'max']) AS p)"""
+         % ", ".join(f"'{c}'" for c in _an.OUTLIER_COLS))(_an.approx_rank_error)
 register("detect_layout", """SELECT 'accounts' AS "table", 'flat' AS layout, COUNT(*) AS n_rows FROM orders
     UNION ALL SELECT 'parties' AS "table", 'data_subdir' AS layout, COUNT(*) AS n_rows FROM customer""")(
     _lk.detect_layout)

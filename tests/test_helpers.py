@@ -91,3 +91,33 @@ def test_checkpoint_dir_from_session(spark):
 
     d = checkpoint_dir(spark)
     assert d and scratch_path(spark, "x").startswith(d.rstrip("/"))
+
+
+def test_selection_with_loose_sketches_is_exact(spark):
+    """Hot values, ties, nulls, tiny columns and a sketch that is off by a tenth of the rows: always the exact value."""
+    from strata.operators import selection
+
+    rnd = np.random.default_rng(4)
+    n = 3000
+    pdf = pd.DataFrame({"a": rnd.normal(size=n), "b": np.where(rnd.random(n) < 0.9, 0.0, rnd.exponential(size=n)),
+                        "c": rnd.integers(0, 5, n).astype(float)})
+    pdf.loc[::7, "a"] = np.nan
+    df = spark.createDataFrame([tuple(None if x != x else float(x) for x in r) for r in pdf.itertuples(index=False)],
+                               "a double, b double, c double").repartition(5)
+    df = df.withColumn("one", F.when(F.col("a") == float(np.nanmax(pdf["a"])), 3.5)).withColumn("none", F.lit(None).cast("double"))
+    qs = [0.0, 0.013, 0.5, 0.9, 0.95, 0.999, 1.0]
+    for accuracy in (10, 100, 10_000):
+        got = selection.values_at(df, {c: qs for c in ("a", "b", "c", "one", "none")}, accuracy)
+        for c in "abc":
+            assert [got[c][q] for q in qs] == pytest.approx(np.nanpercentile(pdf[c], [q * 100 for q in qs]).tolist())
+        assert set(got["one"].values()) == {3.5} and set(got["none"].values()) == {None}
+
+
+def test_positions_outside_their_bounds_are_found(spark, monkeypatch):
+    """Bounds that do not hold are noticed by the counts."""
+    from strata.operators import selection
+
+    monkeypatch.setattr(selection, "_bounds", lambda narrow, wanted, size, accuracy: {
+        (c, p): (900.0, 950.0) for c, ps in wanted.items() for p in ps})
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    assert selection.values_at(df, {"x": [0.1, 0.92]})["x"] == pytest.approx({0.1: 99.9, 0.92: 919.08})

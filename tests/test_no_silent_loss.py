@@ -56,6 +56,8 @@ def test_an_optimum_on_a_fixed_threshold_keeps_its_row(spark):
 
 
 def test_percentiles_count_equal_values_first(spark):
+    from strata.operators import selection
+
     values = [0.0] * 900 + [float(i) for i in range(100)]
     df = spark.createDataFrame([(v, -v if i % 2 else None) for i, v in enumerate(values)], "a double, b double")
     qs = [0.0, 0.5, 0.9, 0.951, 0.99, 1.0]
@@ -63,7 +65,7 @@ def test_percentiles_count_equal_values_first(spark):
     for c, want in df.toPandas().quantile(qs).items():
         assert got[c] == pytest.approx(list(want))
     plan = df.sparkSession._jvm.PythonSQLUtils.explainString(
-        profile._long(df, ["a"]).groupBy("column", "value").count()._jdf.queryExecution(), "simple")
+        selection.value_counts(df, {("a", 5): (0.0, 9.0)})._jdf.queryExecution(), "simple")
     assert "partial_count" in plan
 
 
