@@ -112,6 +112,7 @@ register("score_sink", _EV["score_table"])(_lk.score_sink)
 register("preprocessed_sink", _AN_SQL["encode_features"])(_lk.preprocessed_sink)
 register("list_tables")(_lk.list_tables)
 register("lakehouse_master", _over_master("SELECT * FROM master"))(_lk.lakehouse_master)
+register("bucketed_master", _over_master("SELECT * FROM master"))(_lk.bucketed_master)
 from strata.plans.oracle_eval import SCORED as _SCORED, _lift_table_sql  # noqa: E402
 
 register("report_csv", f"WITH {_SCORED}, {_lift_table_sql('y_proba', 'model_a', 'a')} SELECT * FROM lt_a")(
