@@ -8,6 +8,7 @@ thresholds and ensemble weights use ``thr``; metrics are reported on ``test``, w
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,7 +20,7 @@ from strata.operators import prep, profile, train
 from strata.operators.features import LABELS
 from strata.operators.rank import average_rank, exact_quantiles, value_decile
 from strata.plans import modeling as md
-from strata.session import cut_lineage, store
+from strata.session import checkpoint_dir, cut_lineage, folders, store
 
 KEY, Y, W = md.KEY, md.Y, md.W
 
@@ -102,15 +103,18 @@ def run(d: DataFrame, feats: list[str], s: Settings = Settings()) -> dict[str, D
     return {"features": features, "trials": trials, "benchmark": benchmark, "scores": store(scores, "chain-scores")}
 
 
-#: Runs of this application by (application, data folder): the queries below read the tables of one run.
-_RUNS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+TABLES = ("features", "trials", "benchmark", "scores")
 
 
 def _run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _RUNS:
-        _RUNS[at] = run(*md._parts(spark, sf_dir))
-    return _RUNS[at]
+    """The tables of this application's run over ``sf_dir``, in a folder of its own; it is built if the table that is
+    written last is not complete."""
+    at = f"{checkpoint_dir(spark).rstrip('/')}/strata-chain-{spark.sparkContext.applicationId}-{zlib.crc32(sf_dir.encode()):08x}"
+    if "_SUCCESS" not in folders(spark, f"{at}/{TABLES[-1]}"):
+        out = run(*md._parts(spark, sf_dir))
+        for name in TABLES:
+            out[name].write.mode("overwrite").parquet(f"{at}/{name}")
+    return {name: spark.read.parquet(f"{at}/{name}") for name in TABLES}
 
 
 def final_features(spark: SparkSession, sf_dir: str) -> DataFrame:

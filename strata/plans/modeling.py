@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import evaluate as ev
-from strata.operators import prep, profile, train
+from strata.operators import prep, profile, smote, train
 from strata.operators.features import LABELS
 from strata.operators.rank import average_rank, exact_quantiles, value_decile
 from strata.plans import gold
@@ -146,15 +146,12 @@ def score_base(spark, sf_dir):
     """Full-base scoring: both models on every customer, F1-weighted ensemble, rank, decile, yes/no."""
     d, feats = _parts(spark, sf_dir)
     models = _base_models(d, feats)
-    test = _multi_score(models, d.filter(F.col("split") == "test"), feats)
-    thr = _multi_score(models, d.filter(F.col("split") == "thr"), feats)
-    f1 = {}
-    for n in models:
-        t = float(ev.best_f1_threshold(thr, y=Y, p=f"score_{n}").first()["threshold"])
-        f1[n] = float(ev.confusion_at(test, [t], y=Y, p=f"score_{n}").first()["f1"])
+    # weights and the threshold come from the threshold half: the test half stays unseen
+    thr = cut_lineage(_multi_score(models, d.filter(F.col("split") == "thr"), feats))
+    f1 = {n: float(ev.best_f1_threshold(thr, y=Y, p=f"score_{n}").first()["f1"]) for n in models}
     total = sum(f1.values())
     if total == 0:
-        raise ValueError("no model finds a positive on the test half: the ensemble has no weights")
+        raise ValueError("no model finds a positive on the threshold half: the ensemble has no weights")
     weights = {f"score_{n}": v / total for n, v in f1.items()}
     ens_thr = thr.withColumn("score_ensemble", train.ensemble_columns(weights))
     cut = float(ev.best_f1_threshold(ens_thr, y=Y, p="score_ensemble").first()["threshold"])
@@ -219,3 +216,28 @@ def model_split(spark, sf_dir):
 
 
 QUERIES.update({"top_features": top_features, "downcast_features": downcast_features, "model_split": model_split})
+
+
+def oversampled(spark, sf_dir):
+    """The training rows and as many new positives at the border as there are positives."""
+    d, feats = _parts(spark, sf_dir)
+    tr = d.filter(F.col("split") == "train")
+    return smote.oversample(tr, KEY, Y, feats, 2 * tr.filter(F.col(Y) == 1).count())
+
+
+def border_oversample(spark, sf_dir):
+    """Rows of each class before and after border over-sampling, and how many new rows lie off their parents' range."""
+    d, feats = _parts(spark, sf_dir)
+    tr = d.filter(F.col("split") == "train")
+    out = cut_lineage(smote.oversample(tr, KEY, Y, feats, 2 * tr.filter(F.col(Y) == 1).count()))
+    real = out.filter(~F.col("synthetic"))
+    ends = [real.select(F.col(KEY).alias(c), F.array(*feats).alias(f"_{c}")) for c in ("parent", "neighbour")]
+    both = out.filter("synthetic").join(ends[0], "parent").join(ends[1], "neighbour")
+    off = F.exists(F.zip_with(F.array(*feats), F.zip_with("_parent", "_neighbour", lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
+                              lambda v, e: (v < F.least(e["a"], e["b"]) - 1e-6) | (v > F.greatest(e["a"], e["b"]) + 1e-6)), lambda x: x)
+    new = both.groupBy(Y).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(off, 1)).alias("n_off")).withColumn("synthetic", F.lit(True))
+    old = real.groupBy(Y).agg(F.count(F.lit(1)).alias("n")).withColumns({"n_off": F.lit(0).cast("long"), "synthetic": F.lit(False)})
+    return old.select("synthetic", Y, "n", "n_off").unionByName(new.select("synthetic", Y, "n", "n_off"))
+
+
+QUERIES.update({"oversampled": oversampled, "border_oversample": border_oversample})

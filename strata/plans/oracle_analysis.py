@@ -166,7 +166,11 @@ FLEET_FACTS = f"""SELECT COUNT(*) AS n_rows, COUNT(*) AS n_keys, CAST(SUM(label_
     COUNT(*) FILTER (split = 'train') AS n_held, COUNT(*) FILTER (split = 'train') AS n_held_keys,
     CAST(3 AS BIGINT) AS n_folds, CAST(0 AS BIGINT) AS bad_held, CAST(0 AS BIGINT) AS repeated_values FROM ({MODEL_SPLIT})"""
 
-ORACLE_MODEL = {"fleet_folds": FLEET_FOLDS, "fleet_facts": FLEET_FACTS, "downcast_features": DOWNCAST_FEATURES, "model_split": MODEL_SPLIT, "trained_facts": TRAINED_FACTS}
+BORDER_OVERSAMPLE = f"""SELECT FALSE AS synthetic, label_any, COUNT(*) AS n, CAST(0 AS BIGINT) AS n_off
+    FROM ({MODEL_SPLIT}) WHERE split = 'train' GROUP BY label_any
+    UNION ALL SELECT TRUE, 1, COUNT(*), CAST(0 AS BIGINT) FROM ({MODEL_SPLIT}) WHERE split = 'train' AND label_any = 1"""
+
+ORACLE_MODEL = {"border_oversample": BORDER_OVERSAMPLE, "fleet_folds": FLEET_FOLDS, "fleet_facts": FLEET_FACTS, "downcast_features": DOWNCAST_FEATURES, "model_split": MODEL_SPLIT, "trained_facts": TRAINED_FACTS}
 
 ORACLE = {
     "label_distribution": LABEL_DISTRIBUTION,
