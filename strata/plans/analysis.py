@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from strata.operators import prep, profile
 from strata.plans import gold
-from strata.session import cut_lineage
 
 # The notebook's report column lists.
 OUTLIER_COLS = ["avg_balance", "max_balance", "total_flux_cred", "total_gab_amount", "total_tpe_amount",
@@ -20,19 +19,13 @@ SAMPLE_ROWS = 500
 UNDERSAMPLE_TARGETS = {0: 500}
 
 
-def materialized_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The master table as the notebooks read it: computed once, written (reliable checkpoint),
-    then read by operators that pass over it more than once (index fit + transform, caps)."""
-    return cut_lineage(gold.master_table(spark, sf_dir))
-
-
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = gold.master_table(spark, sf_dir)
+    m = gold.written_master(spark, sf_dir)
     return m.withColumn("label_any", profile.label_any(m))
 
 
 def label_distribution(spark, sf_dir):
-    return profile.label_distribution(gold.master_table(spark, sf_dir))
+    return profile.label_distribution(gold.written_master(spark, sf_dir))
 
 
 def label_any(spark, sf_dir):
@@ -40,19 +33,19 @@ def label_any(spark, sf_dir):
 
 
 def null_profile(spark, sf_dir):
-    return profile.null_profile(gold.master_table(spark, sf_dir))
+    return profile.null_profile(gold.written_master(spark, sf_dir))
 
 
 def percentile_profile(spark, sf_dir):
-    return profile.percentile_profile(gold.master_table(spark, sf_dir), OUTLIER_COLS)
+    return profile.percentile_profile(gold.written_master(spark, sf_dir), OUTLIER_COLS)
 
 
 def p99_caps(spark, sf_dir):
-    return prep.p99_caps(gold.master_table(spark, sf_dir)).select("column", F.round("p99", 6).alias("p99"))
+    return prep.p99_caps(gold.written_master(spark, sf_dir)).select("column", F.round("p99", 6).alias("p99"))
 
 
 def cap_outliers(spark, sf_dir):
-    m = materialized_master(spark, sf_dir)
+    m = gold.written_master(spark, sf_dir)
     capped = prep.cap_outliers(m, prep.cap_values(m))
     return capped.select("RADICAL", "NOMBRE_ENFANT", *(F.round(c, 6).alias(c) for c in prep.CAP_COLS))
 
@@ -63,21 +56,21 @@ def corr_label(spark, sf_dir):
 
 def corr_matrix(spark, sf_dir):
     # two passes (means, then the Gramian): read the materialised master
-    return profile.corr_pairs(materialized_master(spark, sf_dir), CORR_COLS)
+    return profile.corr_pairs(gold.written_master(spark, sf_dir), CORR_COLS)
 
 
 def age_by_label(spark, sf_dir):
-    m = gold.master_table(spark, sf_dir)
+    m = gold.written_master(spark, sf_dir)
     return profile.age_by_label(m, profile.label_any(m))
 
 
 def string_index(spark, sf_dir):
-    enc = prep.string_index(materialized_master(spark, sf_dir))
+    enc = prep.string_index(gold.written_master(spark, sf_dir))
     return enc.select("RADICAL", *(f"{c}_idx" for c in prep.CAT_COLS))
 
 
 def encode_features(spark, sf_dir):
-    return prep.encode_features(materialized_master(spark, sf_dir))
+    return prep.encode_features(gold.written_master(spark, sf_dir))
 
 
 def stratified_split(spark, sf_dir):
@@ -102,9 +95,9 @@ def class_weight(spark, sf_dir):
 
 def approx_percentile_profile(spark, sf_dir):
     """The notebook's own method: percentile_approx (bounded-memory sketch), all columns in one pass."""
-    return profile.approx_percentile_profile(gold.master_table(spark, sf_dir), OUTLIER_COLS)
+    return profile.approx_percentile_profile(gold.written_master(spark, sf_dir), OUTLIER_COLS)
 
 
 def approx_rank_error(spark, sf_dir):
     """Whether the sketch's percentiles keep their promised rank error."""
-    return profile.rank_errors(materialized_master(spark, sf_dir), OUTLIER_COLS)
+    return profile.rank_errors(gold.written_master(spark, sf_dir), OUTLIER_COLS)

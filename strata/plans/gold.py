@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators import features as feat
 from strata.operators.master import add_derived, build_master, fill_zero, join_features
 from strata.plans import fixtures as fx
+from strata.session import checkpoint_dir, folders
+from strata.sources.scan import list_files
+from strata.sources.sinks import write_overwrite
 
 
 def entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -24,8 +30,6 @@ def feature(spark: SparkSession, sf_dir: str, group: str) -> DataFrame:
 
 def rounded(df: DataFrame) -> DataFrame:
     """Standard deviations to four digits, as the reports show them (engines differ in the last bits)."""
-    from pyspark.sql import functions as F
-
     cols = [c for c in ("std_balance", "std_flux_cred") if c in df.columns]
     return df.withColumns({c: F.round(c, 4) for c in cols}) if cols else df
 
@@ -34,10 +38,20 @@ def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(build_master(entities(spark, sf_dir), fx.AS_OF))
 
 
+def written_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master table as it lies in Gold, which profiling, preparation and modelling read. It is written once for an
+    application and a state of the source files (their paths, lengths and times); a folder that is gone or incomplete
+    is written again."""
+    state = list_files(spark, sf_dir).agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()[0]
+    own = f"{spark.sparkContext.applicationId}-{zlib.crc32(f'{sf_dir} {state}'.encode()):08x}"
+    at = f"{checkpoint_dir(spark).rstrip('/')}/strata-gold-{own}/master_table"
+    if "_SUCCESS" not in folders(spark, at):
+        write_overwrite(master_table(spark, sf_dir), at)
+    return spark.read.parquet(at)
+
+
 def master_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minimum slice: base + balances + income, filled, two derived ratios."""
-    from pyspark.sql import functions as F
-
     base = base_customers(spark, sf_dir)
     joined = fill_zero(join_features(base, [feature(spark, sf_dir, "soldes"), feature(spark, sf_dir, "flux")]))
     return joined.select(
@@ -60,4 +74,4 @@ def derived_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "balance_trend", "avg_monthly_spend")
 
 
-__all__ = ["add_derived", "base_customers", "derived_features", "entities", "feature", "master_slice", "master_table"]
+__all__ = ["add_derived", "base_customers", "derived_features", "entities", "feature", "master_slice", "master_table", "written_master"]

@@ -24,9 +24,8 @@ TUNE_TRIALS = 4
 
 
 def model_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = gold.master_table(spark, sf_dir)
+    m = gold.written_master(spark, sf_dir)  # the caps and the category counts read it too
     m = m.withColumn(Y, profile.label_any(m))
-    m = cut_lineage(m)  # the caps and the category counts read it too
     m = prep.cap_outliers(m, prep.cap_values(m))
     enc = prep.encode_features(m)
     enc = prep.class_weight(enc, Y)
