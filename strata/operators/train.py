@@ -8,9 +8,11 @@ only loops over whole distributed fits (feature elimination, random search).
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -186,6 +188,17 @@ def rfe(estimator_factory, train: DataFrame, valid: DataFrame, features: Sequenc
         "round int, n_features int, lift double, capture double, pr_auc double, features array<string>, best boolean")
 
 
+def eliminations(families: dict[str, Callable], train: DataFrame, valid: DataFrame, features: Sequence[str], key: str, y: str,
+                 parallelism: int = 4, **options) -> dict[str, DataFrame]:
+    """``rfe`` of each family, side by side."""
+    @inheritable_thread_target(train.sparkSession)
+    def run(make: Callable) -> DataFrame:
+        return rfe(make, train, valid, features, key, y, **options)
+
+    with ThreadPool(max(1, parallelism)) as pool:
+        return dict(zip(families, pool.map(run, families.values(), chunksize=1), strict=True))
+
+
 def consensus(rounds: Sequence[DataFrame]) -> DataFrame:
     """Features in the best set of every elimination (one ``rfe`` result per model)."""
     sets = [r.where("best").select(F.explode("features").alias("feature")) for r in rounds]

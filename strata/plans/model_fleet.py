@@ -15,9 +15,7 @@ import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +70,11 @@ def _estimators(found: dict[str, tuple[dict, int]], rounds: dict[str, int], posi
 def build(d: DataFrame, at: str, s: Settings) -> None:
     """Run the whole flow over the prepared frame ``d`` and write its tables under ``at``; ``benchmark`` comes last."""
     spark, feats = d.sparkSession, md.features_of(d)
-    put = lambda df, name: (df.write.mode("overwrite").parquet(f"{at}/{name}"), spark.read.parquet(f"{at}/{name}"))[1]
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{at}/{name}")
+        return spark.read.parquet(f"{at}/{name}")
+
     whole = d.where(F.col("split") == "train").drop("split")
     fifth = prep.stratified_split(whole, Y, KEY, 0.2, seed=44, names=("fit", "valid"))
     ready = cut_lineage(train.assemble(fifth, feats).select(KEY, Y, train.FEATURES, "split"))
@@ -96,10 +98,10 @@ def build(d: DataFrame, at: str, s: Settings) -> None:
     put(spark.createDataFrame(stops, "model string, round int, loss double, chosen boolean"), "stops")
 
     bases = _estimators(best, rounds, "__pos_")
-    if not _has_stage(bases["ada"], train.assemble(weighted, feats)):  # deeper trees, as far as they help
-        depth = boost.deepening(lambda k: bases["ada"]().copy().setParams(maxDepth=k, maxIter=1), train.assemble(weighted, feats), DEPTHS)[1]
-        make = bases["ada"]
-        bases["ada"] = lambda: make().setParams(maxDepth=depth)
+    frame, adaptive = train.assemble(weighted, feats), bases["ada"]
+    # the searched depth first, then deeper trees, as far as they are needed for a stage
+    _, depth = boost.deepening(lambda k: adaptive().setParams(maxDepth=k, maxIter=1), frame, [best["ada"][0]["depth"], *DEPTHS])
+    bases["ada"] = lambda: adaptive().setParams(maxDepth=depth)
     meta = GBTClassifier(featuresCol=train.FEATURES, labelCol=Y, maxIter=s.meta_rounds, maxDepth=3, seed=42)
     models, top, held = stacking.stacked(bases, meta, weighted, feats, KEY, Y, s.folds)
     put(held, "out_of_fold")
@@ -128,14 +130,6 @@ def build(d: DataFrame, at: str, s: Settings) -> None:
     put(metrics, "benchmark")
 
 
-def _has_stage(make: Callable[[], Estimator], frame: DataFrame) -> bool:
-    try:
-        make().copy().setParams(maxIter=1).fit(frame)
-        return True
-    except boost.WeakStage:
-        return False
-
-
 # ------------------------------------------------------------------ registered queries
 
 def fleet_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,23 +203,19 @@ def fleet_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} long" for k in row))
 
 
-def consensus_of_four(spark: SparkSession, sf_dir: str, rounds: int = 4, parallelism: int = 4) -> DataFrame:
-    """Features that the eliminations of all four families keep in their best round; eliminations run side by side."""
+def consensus_of_four(spark: SparkSession, sf_dir: str, rounds: int = 2, parallelism: int = 4) -> DataFrame:
+    """Features that the eliminations of all four families keep in their best round; eliminations run side by side.
+    Not a registered query: some hundred fits."""
     d, feats = md._parts(spark, sf_dir)
     tr, thr = d.where("split = 'train'"), d.where("split = 'thr'")
     families = {
         "gbt": lambda: train.gbt(Y, md.W, max_iter=rounds),
         "gbt_deep": lambda: train.gbt(Y, md.W, max_iter=rounds, max_depth=6, step=0.05, subsample=0.8).setFeatureSubsetStrategy("0.8"),
-        "rf": lambda: train.random_forest(Y, md.W, trees=20),
+        "rf": lambda: train.random_forest(Y, md.W, trees=10),
         "ada": lambda: boost.AdaBoostClassifier(labelCol=Y, weightCol=md.W, maxIter=rounds, maxDepth=3)}
 
-    @inheritable_thread_target(spark)
-    def run(make) -> DataFrame:
-        return train.rfe(make, tr, thr, feats, KEY, Y)
-
-    with ThreadPool(max(1, parallelism)) as pool:
-        return train.consensus(pool.map(run, families.values(), chunksize=1))
+    return train.consensus(list(train.eliminations(families, tr, thr, feats, KEY, Y, parallelism).values()))
 
 
 QUERIES = {f.__name__: f for f in (fleet_trials, fleet_stops, fleet_folds, fleet_out_of_fold, fleet_benchmark, fleet_runs,
-                                   fleet_scores, fleet_facts, consensus_of_four)}
+                                   fleet_scores, fleet_facts)}

@@ -269,3 +269,19 @@ def test_stack_scores_every_row(frame):
     assert sorted(r["key"] for r in out) == list(range(180, 240)) and held.count() == 180
     assert all(0 <= r[c] <= 1 for r in out for c in ("score_gbt", "score_ada", "score_stack"))
     assert best_f1([(r["score_stack"], r["y"]) for r in out]) > 0.6
+
+
+def test_eliminations_of_families_side_by_side(frame):
+    """Boosted trees and adaptive boosting drop the columns that say nothing; the consensus is what both keep."""
+    df = frame.withColumns({f"noise{i}": F.hash("key", F.lit(i)).cast("double") % 3 * 0 + i for i in range(2)})
+    names = [*X, "noise0", "noise1"]
+    families = {"gbt": lambda: GBTClassifier(labelCol="y", featuresCol="features", maxIter=2, seed=1),
+                "ada": lambda: boost.AdaBoostClassifier(labelCol="y", maxIter=2, maxDepth=2)}
+    found = train.eliminations(families, df.where("key % 3 != 0"), df.where("key % 3 = 0"), names, "key", "y",
+                               drop_fraction=0.34, min_features=3)
+    for rounds in found.values():
+        rows = rounds.orderBy("round").collect()
+        assert [r["n_features"] for r in rows] == [6, 4, 3] and set(rows[1]["features"]) == set(X)
+    keep = {r["feature"] for r in train.consensus(list(found.values())).collect()}
+    best = [set(r.where("best").first()["features"]) for r in found.values()]
+    assert keep == best[0] & best[1]
