@@ -2,9 +2,9 @@
 
 Nearest neighbours come from a forest of balanced projection trees. Every tree orders the rows by a random projection
 into equal blocks, and each block by a second one into leaves of at most ``leaf`` rows: leaves are cut by position, so
-none is larger, whatever the values. A query is compared with the rows of its leaf in every tree; the candidates of one
-query are at most ``trees * leaf``, and no pair of rows outside a leaf is formed. Up to ``leaf`` rows the answer is
-exact; beyond that it is approximate, and ``recall`` measures it against brute force.
+none is larger, whatever the values. A query is compared with the rows of its leaf in every tree, inside the task that
+holds the leaf: every row is sent once a tree, a leaf sends back at most ``m`` rows a query, and no pair is written. Up to
+``leaf`` rows the answer is exact; beyond that it is approximate, and ``recall`` measures it against brute force.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.prep import hash_order
@@ -58,17 +59,47 @@ def neighbours(rows: DataFrame, queries: DataFrame, width: int, m: int, trees: i
     """``(query, neighbour, distance, place)``: the ``m`` nearest rows (``key``, ``vec``) of each query, which is one of
     the rows and not its own neighbour; ties by key. ``queries`` holds keys. A query gets fewer only if its leaves
     hold fewer rows. Stored."""
-    rows = store(rows.select("key", "vec"), "neighbour-rows")
+    # a number a row: rows that share a key are told apart, and a pair that several trees find counts once
+    rows = store(rows.select("key", "vec").withColumn("row", F.monotonically_increasing_id()), "neighbour-rows")
     n = rows.count()
     placed = store(leaves(rows, width, n, trees if n > leaf else 1, leaf, seed), "neighbour-leaves")
-    asked = placed.join(queries.select("key"), "key").select(F.col("key").alias("query"), "tree", "leaf")
-    pairs = asked.join(placed, ["tree", "leaf"]).where("query != key").select("query", "key").distinct()
-    own = rows.select(F.col("key").alias("query"), F.col("vec").alias("own"))
-    square = F.aggregate(F.zip_with("own", "vec", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    far = pairs.join(own, "query").join(rows, "key").select("query", F.col("key").alias("neighbour"), F.sqrt(square).alias("distance"))
-    # at most trees * leaf rows a query
-    order = Window.partitionBy("query").orderBy("distance", "neighbour")
-    return store(far.withColumn("place", F.row_number().over(order)).where(F.col("place") <= m), "neighbours")
+    asked = queries.select("key").distinct().withColumn("asked", F.lit(True))
+    members = placed.distinct().join(asked, "key", "left").join(rows, "key").select("tree", "leaf", "key", "row", F.coalesce("asked", F.lit(False)).alias("asked"), "vec")
+    kind = rows.schema["key"].dataType.simpleString()
+    found = members.groupBy("tree", "leaf").applyInArrow(_nearest(m), f"query {kind}, distance double, neighbour {kind}, row long, other long")
+    # at most trees * m pairs a query
+    best = found.groupBy("query").agg(F.slice(F.sort_array(F.collect_set(F.struct("distance", "neighbour", "row", "other"))), 1, m).alias("best"))
+    ranked = best.select("query", F.posexplode("best").alias("place", "b"))
+    return store(ranked.select("query", "b.neighbour", "b.distance", (F.col("place") + 1).alias("place")), "neighbours")
+
+
+def _nearest(m: int, block: int = 256):
+    """Gives the ``m`` nearest rows of a leaf for each of its queries, by distance, then key. The squares are added
+    feature by feature, in the order of the vector; only ``block`` queries are compared at a time."""
+    def nearest(leaf: pa.Table) -> pa.Table:
+        row, asked = (leaf.column(c).to_numpy() for c in ("row", "asked"))
+        queries = np.flatnonzero(asked)
+        keys = leaf.column("key").combine_chunks()
+        picked = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0)]
+        if len(queries):
+            _, code = np.unique(keys.to_numpy(zero_copy_only=False), return_inverse=True)
+            x = np.concatenate([c.flatten().to_numpy() for c in leaf.column("vec").chunks]).reshape(len(row), -1)
+            for own in (queries[i:i + block] for i in range(0, len(queries), block)):
+                square = np.zeros((len(own), len(row)))
+                for f in range(x.shape[1]):
+                    apart = x[own, f][:, None] - x[None, :, f]
+                    square += apart * apart
+                distance, itself = np.sqrt(square), code[own][:, None] == code[None, :]
+                order = np.lexsort((np.broadcast_to(row, itself.shape), np.broadcast_to(code, itself.shape), distance, itself))[:, :m]
+                at, which = np.nonzero(~np.take_along_axis(itself, order, axis=1))
+                near = order[at, which]
+                for into, found in zip(picked, (own[at], near, distance[at, near]), strict=True):
+                    into.append(found)
+        own, near, distance = map(np.concatenate, picked)
+        return pa.table({"query": keys.take(pa.array(own)), "distance": distance, "neighbour": keys.take(pa.array(near)),
+                         "row": row[own], "other": row[near]})
+
+    return nearest
 
 
 def recall(rows: DataFrame, found: DataFrame, queries: Sequence, m: int) -> float:
