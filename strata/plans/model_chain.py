@@ -75,7 +75,8 @@ def run(d: DataFrame, feats: list[str], s: Settings = Settings()) -> dict[str, D
                                        s.trials, rounds=s.search_rounds), "chain-trials")
     best = trials.orderBy(F.col("f1").desc(), "trial").first()
     tuned = train.gbt(Y, W, best["max_iter"], best["max_depth"], best["step"], best["subsample"])
-    models = {"gbt": train.fit(tuned, tr, final), "rf": train.fit(train.random_forest(Y, W, s.trees), tr, final)}
+    fits = [lambda: train.fit(tuned, tr, final), lambda: train.fit(train.random_forest(Y, W, s.trees), tr, final)]
+    models = dict(zip(("gbt", "rf"), train.side_by_side(d.sparkSession, fits), strict=True))
 
     labels = [c for c in LABELS if c in d.columns]
     full = cut_lineage(md._multi_score(models, d, final, keep=["split", *labels]))
