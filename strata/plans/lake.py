@@ -233,7 +233,7 @@ def lakehouse_master(spark: SparkSession, sf_dir: str) -> DataFrame:
               for n, df in silver_tables.items() if n != "perimetre"]
     checks.append(gates.gate_stats(silver_tables["perimetre"], "perimetre", ["RADICAL"], gates.Gate()))
     gates.check(reduce(DataFrame.unionByName, checks))
-    master = gold.rounded(build_master(silver_tables, fx.AS_OF))
+    master = gold.rounded(build_master(gold.dealt(silver_tables), fx.AS_OF))
     gold_path = paths.table("gold", "master_table")
     sinks.write_overwrite(master, gold_path)
     written = spark.read.parquet(gold_path)
