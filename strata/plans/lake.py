@@ -241,8 +241,17 @@ def lakehouse_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written
 
 
+ROWS_A_BUCKET = 400_000
+
+
+def bucket_number(lengths: list[int], least: int, rows: int = ROWS_A_BUCKET) -> int:
+    """Buckets for tables of these lengths: ``least``, or more so that one of the longest table holds about ``rows``."""
+    return max(least, -(-max(lengths) // rows))
+
+
 def bucketed_silver(spark: SparkSession, sf_dir: str, database: str, buckets: int = 16) -> dict[str, DataFrame]:
-    """Silver tables of the fixture, bucketed and sorted by the customer key and read through the catalogue."""
+    """Silver tables of the fixture, bucketed and sorted by the customer key and read through the catalogue. All have
+    the same number of buckets (``buckets`` at least, see ``bucket_number``): one task reads a bucket of every table."""
     from strata.plans import entities
     from strata.plans import fixtures as fx
     from strata.sources import buckets as bk
@@ -255,6 +264,9 @@ def bucketed_silver(spark: SparkSession, sf_dir: str, database: str, buckets: in
     if failed:
         raise RuntimeError(f"silver tables failed: {[(r.table, r.error) for r in failed]}")
 
+    # lengths come from the footers
+    buckets = bucket_number([spark.read.parquet(paths.table(f"{database}_plain", n)).count() for n in specs], buckets)
+
     @inheritable_thread_target(spark)
     def bucket(name: str) -> None:
         own = spark.read.parquet(paths.table(f"{database}_plain", name)).drop("_silver_ts")
