@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import common, spans
-from strata.operators.rank import prefix_sums
+from strata.operators.rank import fixed_partitions, prefix_sums
 
 #: A-Z to a-z, every other ASCII character that is no word character to a space.
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -250,7 +250,7 @@ def resample(docs: DataFrame, target: DataFrame, *, id_col: str = "doc_id", text
     scored = weights(docs, gain, dictionary, id_col=id_col, text_col=text_col, order=order)
     scored = common.store(scored.withColumn("score", F.col("weight") + _noise(F.col("doc"), seed)), "resampling-scores")
     ordered = prefix_sums(scored.where(F.col("n_words") >= min_words),
-                          [F.col("score").desc(), F.col("doc").asc_nulls_last(), F.col("version").asc()])
+                          [F.col("score").desc(), F.col("doc").asc_nulls_last(), F.col("version").asc()], partitions=fixed_partitions(scored))
     drawn = F.col("pos") < F.floor(F.col("total_rows") * percent / 100)
     columns = [F.col("doc").alias(id_col), "n_words", "n_features", "weight", "score"]
     ranked = ordered.select(*columns, F.when(drawn, F.col("pos") + 1).cast("long").alias("rank"))
