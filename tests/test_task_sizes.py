@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import boost, smote, train
+from strata.operators import boost, smote, stacking, train
 from strata.operators.rank import ordered_partitions, positions
 from strata.plans import gold, lake
 
@@ -78,3 +78,54 @@ def test_a_key_that_comes_twice(spark):
     near = smote.neighbours(rows, rows.where("key = 1"), 1, 3)
     assert [tuple(r) for r in near.orderBy("place").select("query", "neighbour", "distance", "place").collect()] == [
         (1, 2, 1.0, 1), (1, 3, 1.0, 2), (1, 2, 3.0, 3)]
+
+
+def _learnable(spark, n=300):
+    own = spark.range(0, n, 1, 2).withColumnRenamed("id", "key")
+    return own.select("key", (F.col("key") % 3 == 0).cast("int").alias("y"), (F.col("key") % 3).cast("double").alias("a"),
+                      (F.col("key") % 5).cast("double").alias("b"), (F.col("key") % 7).cast("double").alias("c"))
+
+
+def test_a_round_is_judged_beside_the_next_fit(spark, monkeypatch):
+    df, begun, whole = _learnable(spark), [], train.ev.lift_at_k
+    second = threading.Event()
+
+    def forest():
+        begun.append(1)
+        if len(begun) > 1:
+            second.set()
+        return train.random_forest("y", trees=3, max_depth=2)
+
+    def judged(*args, **options):
+        assert second.wait(60)  # the first round's judgement meets the second round's fit
+        return whole(*args, **options)
+
+    monkeypatch.setattr(train.ev, "lift_at_k", judged)
+    rounds = train.rfe(forest, df, df, ["a", "b", "c"], "key", "y", drop_fraction=0.3, min_features=1).orderBy("round").collect()
+    assert [(r["round"], r["n_features"], len(r["features"])) for r in rounds] == [(0, 3, 3), (1, 2, 2), (2, 1, 1)]
+    assert rounds[2]["features"] == ["a"] and rounds[2]["best"] and rounds[2]["pr_auc"] == 1.0
+
+
+def test_permuted_rows_are_scored_in_bounded_tasks(spark, monkeypatch):
+    df, feats = _learnable(spark), ["a", "b", "c"]
+    monkeypatch.setattr(train, "VARIANTS_A_TASK", 150)
+    kept, made = [], train._permuted
+    monkeypatch.setattr(train, "_permuted", lambda *args: kept.append(made(*args)) or kept[-1])
+    model = train.fit(train.gbt("y", max_iter=2, max_depth=2), df, feats)
+    drops = {r["feature"]: r["perm_importance"] for r in train.permutation_importance(model, df, feats, "key", "y", 2, buckets=64).collect()}
+    assert drops["a"] > 0.1 and drops["b"] == drops["c"] == 0
+    assert len(kept) == 2
+    for long in kept:  # six tasks by their rows, and not fewer
+        assert long.count() == 900 and long.select(F.spark_partition_id()).distinct().count() == 6
+
+
+def test_folds_are_scored_side_by_side(spark, monkeypatch):
+    meet, whole = threading.Barrier(3, timeout=60), stacking.scores_of
+
+    def scores(*args):
+        meet.wait()
+        return whole(*args)
+
+    monkeypatch.setattr(stacking, "scores_of", scores)
+    held = stacking.out_of_fold({"gbt": lambda: train.gbt("y", max_iter=2, max_depth=2)}, _learnable(spark), ["a", "b", "c"], "key", "y", 3)
+    assert held.count() == 300 and sorted(r["count"] for r in held.groupBy("fold").count().collect()) == [99, 100, 101]
