@@ -128,7 +128,8 @@ def grouped_average_precision(df: DataFrame, group: str, y: str, p: str) -> Data
     return r.groupBy(group).agg(F.try_divide(F.sum(F.col("pos_s") * (tp / n)), F.first("_gp")).alias("ap"))
 
 
-def _permuted(df: DataFrame, features: Sequence[str], key: str, seed: int, buckets: int, tasks: int) -> DataFrame:
+def _permuted(df: DataFrame, features: Sequence[str], key: str, seed: int, buckets: int,
+              tasks: int | None = None) -> DataFrame:
     """Long frame ``(other columns, _feature, features)``: for each feature f, every row with f
     replaced by another row's value, as a model-ready vector.
 
@@ -140,7 +141,7 @@ def _permuted(df: DataFrame, features: Sequence[str], key: str, seed: int, bucke
     are made by ``transform`` over one array of values.
     """
     bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
-    d = df.withColumn("_b", bucket).repartition(tasks, "_b")
+    d = df.withColumn("_b", bucket).repartition(tasks or buckets, "_b")
     w = Window.partitionBy("_b").orderBy(F.xxhash64(F.col(key), F.lit(seed * 1000)), F.col(key))
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     d = d.withColumns({f"_p{i}": F.coalesce(F.lead(F.col(f)).over(w), F.first(F.col(f)).over(wall)).cast("double")
