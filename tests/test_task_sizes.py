@@ -129,3 +129,19 @@ def test_folds_are_scored_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(stacking, "scores_of", scores)
     held = stacking.out_of_fold({"gbt": lambda: train.gbt("y", max_iter=2, max_depth=2)}, _learnable(spark), ["a", "b", "c"], "key", "y", 3)
     assert held.count() == 300 and sorted(r["count"] for r in held.groupBy("fold").count().collect()) == [99, 100, 101]
+
+
+def test_rows_of_a_fold_are_kept_while_its_fits_read_them(spark):
+    seen = []
+
+    class Noted:
+        def fit(self, df):
+            seen.append((df, df.storageLevel.useMemory and df.storageLevel.useDisk, set(df.columns)))
+            return train.gbt("y", max_iter=2, max_depth=2).fit(df)
+
+    bases, df = {"one": Noted, "two": Noted}, _learnable(spark)
+    models, _, held = stacking.stacked(bases, train.gbt("y", max_iter=1), df, ["a", "b", "c"], "key", "y", 3)
+    assert set(models) == set(bases) and held.count() == 300
+    assert len(seen) == 8 and all(kept for _, kept, _ in seen)  # three folds and the whole, two fits each
+    assert all({"key", "y", train.FEATURES} <= columns and not columns & {"a", "b", "c"} for _, _, columns in seen)
+    assert not any(df.storageLevel.useMemory for df, _, _ in seen)  # and let go after them
