@@ -17,7 +17,7 @@ from pyspark.sql.types import StringType
 
 from strata.operators.clean import LOAD_TS, CleanSpec
 from strata.plans import fixtures as fx
-from strata.session import scratch_path
+from strata.session import Scratch, scratch_path
 
 DAY = ("date", "yyyy-MM-dd")
 KEY = {"RADICAL": "long"}
@@ -57,13 +57,13 @@ SPECS: dict[str, CleanSpec] = {
 ABSENT = ("gab_3", "tpe_3")
 
 
-def bronze(spark: SparkSession, sf_dir: str, source: str, defects: bool) -> DataFrame:
-    """One Bronze source of the fixture. The absent ones raise ``FileNotFoundError``."""
+def bronze(spark: SparkSession, sf_dir: str, source: str, defects: bool, lines: DataFrame | None = None) -> DataFrame:
+    """One Bronze source of the fixture (``lines``: see ``fixtures.entity``). The absent ones raise ``FileNotFoundError``."""
     if source in ABSENT:
         raise FileNotFoundError(f"no source {source}")
     name, _, part = source.partition("_") if source[-1].isdigit() else (source, "", "")
     spec = SPECS[name]
-    df = fx.perimetre_raw(spark, sf_dir) if name == "perimetre" else fx.entity(spark, sf_dir, name)
+    df = fx.perimetre_raw(spark, sf_dir) if name == "perimetre" else fx.entity(spark, sf_dir, name, lines)
     if part:
         # accounts come from two systems by account, card operations from two by customer
         by = F.col("CCLE") if name == "comptes" else F.col("RADICAL")
@@ -100,13 +100,17 @@ def bronze(spark: SparkSession, sf_dir: str, source: str, defects: bool) -> Data
 
 
 def land(spark: SparkSession, sf_dir: str, paths, names: list[str], defects: bool) -> Callable[[str], DataFrame]:
-    """Write the Bronze sources of some entities; the reader of one of them by name."""
+    """Write the Bronze sources of some entities; the reader of one of them by name. Order lines are joined to their
+    customers once for all entities made of them, and stored until these are written."""
     from strata.sources import sinks
 
-    for name in names:
-        for source in SPECS[name].sources:
-            if source not in ABSENT:
-                sinks.write_overwrite(bronze(spark, sf_dir, source, defects), paths.table("bronze", source))
+    with Scratch(spark) as scratch:
+        several = len(set(names) & set(fx.OF_LINES)) > 1
+        lines = scratch.store(fx.order_lines(spark, sf_dir), "lines") if several else None
+        for name in names:
+            for source in SPECS[name].sources:
+                if source not in ABSENT:
+                    sinks.write_overwrite(bronze(spark, sf_dir, source, defects, lines), paths.table("bronze", source))
     return lambda source: spark.read.parquet(paths.table("bronze", source))
 
 

@@ -40,15 +40,24 @@ def _orders(spark, sf_dir):
     return read(spark, sf_dir, "orders")
 
 
-def _order_lines(spark, sf_dir, line_number: int | None = None):
-    """lineitem joined to its order's customer; optionally one line number."""
-    li = read(spark, sf_dir, "lineitem")
+def _order_lines(spark, sf_dir, line_number: int | None = None, lines: DataFrame | None = None):
+    """lineitem joined to its order's customer (or ``lines``, which is that already); optionally one line number."""
+    li = read(spark, sf_dir, "lineitem") if lines is None else lines
     if line_number is not None:
         li = li.filter(F.col("l_linenumber") == line_number)
+    if lines is not None:
+        return li
     o = _orders(spark, sf_dir).select("o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the entities made of order lines read, one join for all of them: to be stored and passed on as ``lines``."""
+    return _order_lines(spark, sf_dir).select(
+        "o_custkey", "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag",
+        "l_linestatus", "l_shipdate")
+
+
 # ---------------------------------------------------------------- perimetre
 def perimetre_raw(spark: SparkSession, sf_dir: str, as_of: dt.date | None = None) -> DataFrame:
     """Customer perimeter as it would arrive: gender in several encodings, padded text."""
@@ -89,8 +98,8 @@ def perimetre(spark: SparkSession, sf_dir: str, as_of: dt.date | None = None) ->
 
 
 # ---------------------------------------------------------------- products
-def assurance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _order_lines(spark, sf_dir)
+def assurance(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lines = _order_lines(spark, sf_dir, lines=lines)
     p = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_brand")
     small = F.col("p_size") == 1
     t = F.col("p_type")
@@ -140,28 +149,28 @@ def flux(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- transactions (one line number each)
-def _line_entity(spark, sf_dir, entity):
-    return _order_lines(spark, sf_dir, LINE_ENTITY[entity])
+def _line_entity(spark, sf_dir, entity, lines):
+    return _order_lines(spark, sf_dir, LINE_ENTITY[entity], lines)
 
 
-def gab(spark, sf_dir):
-    return _line_entity(spark, sf_dir, "gab").select(
+def gab(spark, sf_dir, lines=None):
+    return _line_entity(spark, sf_dir, "gab", lines).select(
         F.col("o_custkey").alias("RADICAL"),
         F.col("l_extendedprice").alias("MONTANT"),
         F.col("l_shipdate").cast("date").alias("DATE_OP"),
     )
 
 
-def tpe(spark, sf_dir):
-    return _line_entity(spark, sf_dir, "tpe").select(
+def tpe(spark, sf_dir, lines=None):
+    return _line_entity(spark, sf_dir, "tpe", lines).select(
         F.col("o_custkey").alias("RADICAL"),
         F.col("l_extendedprice").alias("MONTANT_TRANSACTION"),
         F.col("l_shipdate").cast("date").alias("DATE_ACHAT"),
     )
 
 
-def retrait(spark, sf_dir):
-    return _line_entity(spark, sf_dir, "retrait").select(
+def retrait(spark, sf_dir, lines=None):
+    return _line_entity(spark, sf_dir, "retrait", lines).select(
         F.col("o_custkey").alias("RADICAL"),
         F.col("l_orderkey").alias("NUM_CARTE"),
         F.col("l_shipdate").cast("date").alias("DATE_OP"),
@@ -169,22 +178,22 @@ def retrait(spark, sf_dir):
     )
 
 
-def online_ope(spark, sf_dir):
-    return _line_entity(spark, sf_dir, "online").select(
+def online_ope(spark, sf_dir, lines=None):
+    return _line_entity(spark, sf_dir, "online", lines).select(
         F.col("o_custkey").alias("RADICAL"),
         F.col("l_extendedprice").alias("MONTANT"),
         F.col("l_shipdate").cast("date").alias("DATE_ACHAT"),
     )
 
 
-def payfac(spark, sf_dir):
-    return _line_entity(spark, sf_dir, "payfac").select(
+def payfac(spark, sf_dir, lines=None):
+    return _line_entity(spark, sf_dir, "payfac", lines).select(
         F.col("o_custkey").alias("RADICAL"),
         F.col("l_extendedprice").alias("MONTANT_TOTAL"),
     )
 
 
-def depot(spark, sf_dir):
+def depot(spark, sf_dir, lines=None):
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     kind = (
         F.when(flag == "A", F.lit("Dépôts à terme"))
@@ -192,27 +201,27 @@ def depot(spark, sf_dir):
         .when(status == "O", F.lit("Bons de caisse"))
         .otherwise(F.lit("Comptes sur carnets"))
     )
-    return _line_entity(spark, sf_dir, "depot").select(
+    return _line_entity(spark, sf_dir, "depot", lines).select(
         F.col("o_custkey").alias("RADICAL"),
         F.col("l_extendedprice").alias("MONTANT_DEPOT"),
         kind.alias("TYPE_DEPOT"),
     )
 
 
-def mad(spark, sf_dir):
+def mad(spark, sf_dir, lines=None):
     flag = F.col("l_returnflag")
     kind = F.when(flag == "A", "MAD GAB").when(flag == "R", "MAD AGENCE").otherwise("MAD DIVERS")
-    return _line_entity(spark, sf_dir, "mad").select(
+    return _line_entity(spark, sf_dir, "mad", lines).select(
         F.col("o_custkey").alias("RADICAL"),
         F.col("l_extendedprice").alias("MONTANT"),
         kind.alias("TYPE"),
     )
 
 
-def virement(spark, sf_dir):
+def virement(spark, sf_dir, lines=None):
     flag = F.col("l_returnflag")
     state = F.when(flag == "A", "1111").when(flag == "N", "1112").otherwise("1113")
-    return _order_lines(spark, sf_dir).select(
+    return _order_lines(spark, sf_dir, lines=lines).select(
         F.col("o_custkey").alias("RADICAL"),
         state.alias("ETAT"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("MT_OPE"),
@@ -278,8 +287,13 @@ ENTITIES = {
 }
 
 
-def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ENTITIES[name](spark, sf_dir)
+#: Entities made of order lines.
+OF_LINES = ("assurance", "gab", "tpe", "retrait", "online_ope", "payfac", "virement", "depot", "mad")
+
+
+def entity(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame | None = None) -> DataFrame:
+    """An entity; ``lines``, the stored ``order_lines``, spares those of ``OF_LINES`` their join."""
+    return ENTITIES[name](spark, sf_dir, lines) if name in OF_LINES else ENTITIES[name](spark, sf_dir)
 
 
 # ---------------------------------------------------------------- scoring frame
