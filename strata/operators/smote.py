@@ -5,6 +5,9 @@ into equal blocks, and each block by a second one into leaves of at most ``leaf`
 none is larger, whatever the values. A query is compared with the rows of its leaf in every tree, inside the task that
 holds the leaf: every row is sent once a tree, a leaf sends back at most ``m`` rows a query, and no pair is written. Up to
 ``leaf`` rows the answer is exact; beyond that it is approximate, and ``recall`` measures it against brute force.
+
+Joins with rows are sort-merge joins by hint: Spark takes an array for one value, so by its own estimate it would broadcast
+all rows through the driver.
 """
 
 from __future__ import annotations
@@ -64,7 +67,7 @@ def neighbours(rows: DataFrame, queries: DataFrame, width: int, m: int, trees: i
     n = rows.count()
     placed = store(leaves(rows, width, n, trees if n > leaf else 1, leaf, seed), "neighbour-leaves")
     asked = queries.select("key").distinct().withColumn("asked", F.lit(True))
-    members = placed.distinct().join(asked, "key", "left").join(rows, "key").select("tree", "leaf", "key", "row", F.coalesce("asked", F.lit(False)).alias("asked"), "vec")
+    members = placed.distinct().join(asked.hint("merge"), "key", "left").join(rows.hint("merge"), "key").select("tree", "leaf", "key", "row", F.coalesce("asked", F.lit(False)).alias("asked"), "vec")
     kind = rows.schema["key"].dataType.simpleString()
     found = members.groupBy("tree", "leaf").applyInArrow(_nearest(m), f"query {kind}, distance double, neighbour {kind}, row long, other long")
     # at most trees * m pairs a query
@@ -118,7 +121,7 @@ def recall(rows: DataFrame, found: DataFrame, queries: Sequence, m: int) -> floa
 def border(rows: DataFrame, near: DataFrame, m: int) -> DataFrame:
     """Keys of the queries near the border: at least half of their ``m`` neighbours are negative, but not all."""
     labels = rows.select(F.col("key").alias("neighbour"), F.col("y").alias("label"))
-    per = near.join(labels, "neighbour").groupBy("query").agg(F.count_if(F.col("label") != 1).alias("negative"))
+    per = near.join(labels.hint("merge"), "neighbour").groupBy("query").agg(F.count_if(F.col("label") != 1).alias("negative"))
     return per.where((2 * F.col("negative") >= m) & (F.col("negative") < m)).select(F.col("query").alias("key"))
 
 
@@ -158,7 +161,7 @@ def oversample(df: DataFrame, key: str, y: str, features: Sequence[str], positiv
     # 53 bits of the hash: a number in [0, 1)
     part = F.shiftrightunsigned(F.xxhash64(h, F.lit("part")), 11).cast("double") / float(1 << 53)
     made = made.select(F.col("key").alias("parent"), F.get("near", F.pmod(h, F.size("near")).cast("int"))["neighbour"].alias("neighbour"), part.alias("part"))
-    ends = lambda name: own.select(F.col(key).alias(name), F.array(*features).alias(f"_{name}"))
+    ends = lambda name: own.select(F.col(key).alias(name), F.array(*features).alias(f"_{name}")).hint("merge")
     made = made.join(ends("parent"), "parent").join(ends("neighbour"), "neighbour")
     new = [(F.get("_parent", i) + F.col("part") * (F.get("_neighbour", i) - F.get("_parent", i))).alias(c) for i, c in enumerate(features)]
     made = made.select(F.lit(None).cast(df.schema[key].dataType).alias(key), F.lit(1).cast(df.schema[y].dataType).alias(y), *new,

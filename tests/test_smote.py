@@ -85,3 +85,16 @@ def test_nothing_to_make(spark):
     odd = df.withColumn("f0", F.when(F.col("key") % 5 != 0, F.col("f0"))).withColumn("y", F.when(F.col("key") % 7 != 0, F.col("y")))
     out = smote.oversample(odd, "key", "y", ["f0", "f1"], 12)
     assert out.where("not synthetic").count() == 40 and out.where("f0 is null or f1 is null").count() == 0
+
+
+def test_rows_are_not_broadcast(spark, monkeypatch):
+    """An array of features is one value to Spark's estimate: joins with all rows must not be left to it."""
+    x, y = points(300, 4, 4)
+    names, plans = [f"f{j}" for j in range(4)], []
+    monkeypatch.setattr(smote, "store", lambda df, name: (plans.append(df), df.cache())[1])
+    out = smote.oversample(frame(spark, x, y), "key", "y", names, 2 * int(y.sum()))
+    assert out.where("synthetic").count() == y.sum()
+    text = [df._jdf.queryExecution().optimizedPlan().toString() for df in (out, *plans)]
+    joins = [line for t in text for line in t.splitlines() if " Join " in line]
+    # what is broadcast by hint is one row a partition or class; nothing is left to the estimate
+    assert any("strategy=merge" in j for j in joins) and all("strategy=" in j for j in joins)
