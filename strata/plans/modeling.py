@@ -230,7 +230,8 @@ def border_oversample(spark, sf_dir):
     tr = d.filter(F.col("split") == "train")
     out = cut_lineage(smote.oversample(tr, KEY, Y, feats, 2 * tr.filter(F.col(Y) == 1).count()))
     real = out.filter(~F.col("synthetic"))
-    ends = [real.select(F.col(KEY).alias(c), F.array(*feats).alias(f"_{c}")) for c in ("parent", "neighbour")]
+    # by its own estimate Spark would broadcast these arrays of all rows
+    ends = [real.select(F.col(KEY).alias(c), F.array(*feats).alias(f"_{c}")).hint("merge") for c in ("parent", "neighbour")]
     both = out.filter("synthetic").join(ends[0], "parent").join(ends[1], "neighbour")
     off = F.exists(F.zip_with(F.array(*feats), F.zip_with("_parent", "_neighbour", lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
                               lambda v, e: (v < F.least(e["a"], e["b"]) - 1e-6) | (v > F.greatest(e["a"], e["b"]) + 1e-6)), lambda x: x)
