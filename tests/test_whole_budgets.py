@@ -68,3 +68,21 @@ def test_rows_are_dealt_out_once_for_all_rounds(rows, monkeypatch):
             weakest = min(zip(model.featureImportances.toArray(), a["features"]))[1]
             assert set(a["features"]) - set(b["features"]) == {weakest}
             assert a["lift"] == train.lift_of(model, thr, a["features"], md.KEY, md.Y)
+
+
+def test_short_tables_are_put_together(spark):
+    df = spark.range(0, 1000, 1, 8)
+    assert [train.packed(df, n).rdd.getNumPartitions() for n in (1000, 400, 50)] == [1, 3, 20]
+    assert train.packed(df, 400).count() == 1000
+
+
+def test_stack_of_four_families(rows, monkeypatch):
+    seen, own = [], stacking.stacked
+    monkeypatch.setattr(stacking, "stacked", lambda bases, meta, df, *a: (seen.append((bases, meta, df)), own(bases, meta, df, *a))[1])
+    out = md.stack_of_four(rows, X, rounds=2, trees=3, stages=2, meta_rounds=2, folds=2)
+    assert out.columns == [md.KEY, md.Y, "y_proba_stack"]
+    got = {r[0]: r[2] for r in out.collect()}
+    assert set(got) == {r[0] for r in rows.where("split = 'test'").select(md.KEY).collect()} and all(0 <= p <= 1 for p in got.values())
+    bases, meta, df = seen[0]
+    assert list(bases) == ["gbt", "gbt_deep", "rf", "ada"] and isinstance(meta, GBTClassifier)
+    assert {r[0] for r in df.select("split").distinct().collect()} == {"train"}  # the meta-model learns from out-of-fold scores
