@@ -86,3 +86,16 @@ def test_stack_of_four_families(rows, monkeypatch):
     bases, meta, df = seen[0]
     assert list(bases) == ["gbt", "gbt_deep", "rf", "ada"] and isinstance(meta, GBTClassifier)
     assert {r[0] for r in df.select("split").distinct().collect()} == {"train"}  # the meta-model learns from out-of-fold scores
+
+
+def test_consensus_of_four_families(rows, monkeypatch):
+    seen, own = {}, train.eliminations
+
+    def spy(families, *a, **kw):
+        seen.update(own(families, *a, **kw, min_features=3))
+        return seen
+
+    monkeypatch.setattr(train, "eliminations", spy)
+    keep = {r["feature"] for r in md.consensus_of_four(rows, X, rounds=1, trees=2, stages=1).collect()}
+    assert list(seen) == ["gbt", "gbt_deep", "rf", "ada"]
+    assert keep == set.intersection(*(set(r.where("best").first()["features"]) for r in seen.values()))
