@@ -32,7 +32,7 @@ class Settings:
     rounds: int = 50
     trees: int = 100
     repeats: int = 3
-    trials: int = md.TUNE_TRIALS
+    trials: int = 4
     search_rounds: tuple[int, ...] = (20, 50)
 
 
