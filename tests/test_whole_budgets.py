@@ -76,6 +76,17 @@ def test_short_tables_are_put_together(spark):
     assert train.packed(df, 400).count() == 1000
 
 
+def test_early_stopping_fits_no_rounds_far_beyond_its_stop(rows):
+    ready = train.assemble(rows, X).cache()
+    fit, valid = ready.where("split = 'train'"), ready.where("split != 'train'")
+    make = lambda n: GBTClassifier(labelCol=md.Y, featuresCol="features", maxIter=n, maxDepth=5, stepSize=0.5, seed=1)
+    model, losses = boost.fit_stopped(make(60), fit, valid, patience=3)
+    whole = make(24).fit(fit).evaluateEachIteration(valid)
+    assert len(losses) < 60 and model.getNumTrees + 3 <= len(losses) <= 24
+    assert losses == pytest.approx(whole[:len(losses)]) and model.getNumTrees == boost.best_round(whole, 3)
+    assert len(boost.fit_stopped(make(2), fit, valid, patience=3)[1]) == 2
+
+
 def test_stack_of_four_families(rows, monkeypatch):
     seen, own = [], stacking.stacked
     monkeypatch.setattr(stacking, "stacked", lambda bases, meta, df, *a: (seen.append((bases, meta, df)), own(bases, meta, df, *a))[1])
@@ -99,3 +110,15 @@ def test_consensus_of_four_families(rows, monkeypatch):
     keep = {r["feature"] for r in md.consensus_of_four(rows, X, rounds=1, trees=2, stages=1).collect()}
     assert list(seen) == ["gbt", "gbt_deep", "rf", "ada"]
     assert keep == set.intersection(*(set(r.where("best").first()["features"]) for r in seen.values()))
+
+
+def test_budgets_are_the_notebooks(monkeypatch, rows):
+    s = mf.Settings()
+    assert s.trials == 30 and 200 <= s.budgets[-1] <= 800 and s.rounds == 1000 and s.patience == 50 and s.meta_rounds == 200
+    defaults = {n: p.default for n, p in inspect.signature(md.consensus_of_four).parameters.items()}
+    assert (defaults["rounds"], defaults["trees"], defaults["stages"]) == (300, 100, 100)
+    seen = {}
+    monkeypatch.setattr(md, "_parts", lambda spark, sf_dir: (rows, X))
+    monkeypatch.setattr(train, "random_search", lambda *a, **kw: seen.update(trials=a[6], **kw))
+    md.tune(None, None)
+    assert seen["trials"] == 30 and min(seen["rounds"]) == 200 and max(seen["rounds"]) == 800
